@@ -171,7 +171,7 @@ def status_enforcement(c: Column, sold_price: Column, ends_at: Column, now: Colu
 def status_by_date(ends_at: Column, now: Column) -> Column:
     """A court date has no time of day: it expires when its Taipei day is over."""
     def day(t):
-        return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("Asia/Taipei"), t.cast("timestamp_ntz")))
+        return F.to_date(F.convert_timezone(None, F.lit("Asia/Taipei"), t.cast("timestamp_ntz")))
 
     return F.when(day(ends_at) < day(now), "EXPIRED").otherwise("SCHEDULED")
 
