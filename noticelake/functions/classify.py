@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import VEHICLE_CLASSES
 from . import patterns as P
-from .text import clean
+from .text import clean, let
 
 
 def _pair(value: str | Column, source: Column) -> Column:
@@ -29,15 +29,19 @@ def _first_wording(c: Column, wording: list[tuple[str, str]]) -> Column:
 
 def vehicle_class(c: Column) -> Column:
     """Motorcycle class struct<value,text>; displacement is never proof of a class."""
-    return _first_wording(clean(c), P.CLASS_WORDING).otherwise(_unknown())
+    return let(clean(c), lambda t: _first_wording(t, P.CLASS_WORDING).otherwise(_unknown()))
 
 
 def vehicle_type(c: Column) -> Column:
     """MOTORCYCLE, CAR or MIXED with the wording that says so; fuel-fee text is no car."""
     lot = F.regexp_replace(clean(c), P.FUEL_FEE_WORDING, "燃料費")
-    moto = F.regexp_extract(lot, P.MOTORCYCLE_WORDING, 0)
-    car = F.regexp_extract(lot, P.CAR_WORDING, 0)
-    both = F.regexp_extract(lot, P.COMBINED_VEHICLE_WORDING, 0)
+    words = let(lot, lambda t: F.array(*[
+        F.regexp_extract(t, p, 0) for p in (P.COMBINED_VEHICLE_WORDING, P.MOTORCYCLE_WORDING, P.CAR_WORDING)]))
+    return let(words, _type_of_words)
+
+
+def _type_of_words(words: Column) -> Column:
+    both, moto, car = (F.get(words, F.lit(i)) for i in range(3))
     return (
         F.when(both != "", _pair("MIXED", both))
         .when((moto != "") & (car != ""), _pair("MIXED", F.concat(moto, F.lit("、"), car)))
@@ -49,10 +53,11 @@ def vehicle_type(c: Column) -> Column:
 
 def car_category(c: Column) -> Column:
     """Body or use category; a car without one is OTHER."""
-    return (
-        _first_wording(clean(c), P.CATEGORY_WORDING)
-        .when(vehicle_type(c)["value"] == "CAR", _pair("OTHER", F.lit("汽車")))
-        .otherwise(_unknown())
+    return let(
+        clean(c),
+        lambda t: _first_wording(t, P.CATEGORY_WORDING)
+        .when(vehicle_type(t)["value"] == "CAR", _pair("OTHER", F.lit("汽車")))
+        .otherwise(_unknown()),
     )
 
 
@@ -71,7 +76,10 @@ def displacement_band(cc: Column) -> Column:
 
 def county(c: Column) -> Column:
     """Explicit county in a text, else the seat hinted at by a court or office name."""
-    value = F.translate(F.coalesce(c, F.lit("")), "台", "臺")
+    return let(F.translate(F.coalesce(c, F.lit("")), "台", "臺"), _county)
+
+
+def _county(value: Column) -> Column:
     explicit = F.regexp_extract(value, "|".join(P.COUNTIES), 0)
     chain = F.when(explicit != "", explicit)
     for hint, name in P.COUNTY_HINTS:

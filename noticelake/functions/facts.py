@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from .text import (
-    amount, ascii_digits, blank_to_null, clean, extract, extract_all, label_value, to_int,
+    amount, ascii_digits, blank_to_null, clean, extract, extract_all, label_value, let, to_int,
 )
 
 # The wording each source uses for a negative and a positive answer.
@@ -225,9 +225,12 @@ def mileage(c: Column, wording: str) -> Column:
 def counts_before_or_after(c: Column, noun: str, units: str = "臺台輛部", gap: str = r"[^。]{0,12}") -> Column:
     """Every stated vehicle count: behind the noun, or before it when none is behind."""
     digits = ascii_digits(c)
-    behind = extract_all(digits, rf"{noun}\s*(\d+)\s*[{units}]", 1)
     ahead = extract_all(digits, rf"(\d+)\s*[{units}]{gap}{noun}", 1)
-    return F.transform(F.when(F.size(behind) > 0, behind).otherwise(ahead), lambda n: n.try_cast("int"))
+    found = let(
+        extract_all(digits, rf"{noun}\s*(\d+)\s*[{units}]", 1),
+        lambda behind: F.when(F.size(behind) > 0, behind).otherwise(ahead),
+    )
+    return F.transform(found, lambda n: n.try_cast("int"))
 
 
 def lot_size_seized(counts: Column, mixed: Column, plates: Column) -> Column:
@@ -242,31 +245,30 @@ def lot_size_seized(counts: Column, mixed: Column, plates: Column) -> Column:
 # --- identity ----------------------------------------------------------------------
 def brand_name(raw: Column) -> Column:
     lookup = F.create_map(*[F.lit(x) for pair in P.BRAND_ALIASES.items() for x in pair])
-    return F.coalesce(F.try_element_at(lookup, raw), raw)
+    return let(raw, lambda r: F.coalesce(F.try_element_at(lookup, r), r))
 
 
 def scan_brand(c: Column, names: list[str]) -> Column:
     """First known brand, in list order, that occurs anywhere in the text."""
-    upper = F.upper(c)
-    return F.coalesce(*[F.when(upper.contains(name), F.lit(name)) for name in names])
+    return let(F.upper(c), lambda upper: F.coalesce(*[F.when(upper.contains(n), F.lit(n)) for n in names]))
 
 
 def western_year(raw: Column) -> Column:
-    year = to_int(raw)
-    return F.when(year < 1911, year + 1911).otherwise(year)
+    return let(to_int(raw), lambda year: F.when(year < 1911, year + 1911).otherwise(year))
 
 
 def plates(c: Column, numeric_needs_label: bool = True) -> Column:
     """Distinct plate tokens; all-digit ones only behind a plate label.
 
-    The label test is a lookbehind alternative in the same pattern, so one pass over
-    the text finds both kinds.
+    Labelled tokens are collected once per text and looked up for the all-digit ones.
     """
     token = P.PLATE_TOKEN
     found = extract_all(c, token)
     if numeric_needs_label:
-        labelled = extract_all(c, f"{P.PLATE_LABEL_BEFORE}({token})", 1)
-        found = F.filter(found, lambda t: t.rlike("[A-Za-z]") | F.array_contains(labelled, t))
+        found = let(
+            extract_all(c, f"{P.PLATE_LABEL_BEFORE}({token})", 1),
+            lambda labelled: F.filter(extract_all(c, token), lambda t: t.rlike("[A-Za-z]") | F.array_contains(labelled, t)),
+        )
     return F.array_distinct(F.transform(found, lambda t: F.upper(F.translate(t, "－", "-"))))
 
 
@@ -296,8 +298,10 @@ def case_number_or_default(case_number: Column, source: Column, record_id: Colum
 
 def generic_vehicle_evidence(c: Column) -> Column:
     """Wording that names vehicles without a type; road passes are not vehicles."""
-    hits = [extract(c, p) for p in P.GENERIC_VEHICLE_WORDING]
-    return F.coalesce(*[F.when(~hit.contains(P.PASS_CARD), blank_to_null(clean(hit))) for hit in hits])
+    return F.coalesce(*[
+        let(extract(c, p), lambda hit: F.when(~hit.contains(P.PASS_CARD), blank_to_null(clean(hit))))
+        for p in P.GENERIC_VEHICLE_WORDING
+    ])
 
 
 def is_procurement_vehicle(c: Column) -> Column:
@@ -309,5 +313,4 @@ def is_central_list_vehicle(c: Column) -> Column:
 
 
 def is_vehicle_auction(c: Column) -> Column:
-    cleaned = clean(c)
-    return cleaned.rlike(P.BRANCH_VEHICLE_TERMS) & cleaned.rlike(P.BRANCH_AUCTION_TERMS)
+    return let(clean(c), lambda t: t.rlike(P.BRANCH_VEHICLE_TERMS) & t.rlike(P.BRANCH_AUCTION_TERMS))

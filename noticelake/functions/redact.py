@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from . import urls
-from .text import blank_to_null, clean, extract_all
+from .text import blank_to_null, clean, extract_all, let
 
 
 def _mask_token(token: Column) -> Column:
@@ -23,7 +23,10 @@ def mask_plate(c: Column) -> Column:
     Every plate token is masked where it stands. Without a token the last two or three
     letters and digits of the whole text are hidden.
     """
-    plate = F.trim(c)
+    return let(F.trim(c), _mask_plate)
+
+
+def _mask_plate(plate: Column) -> Column:
     tokens = extract_all(plate, P.MASKABLE_TOKEN)
     gaps = F.split(plate, P.MASKABLE_TOKEN, -1)
     by_token = F.array_join(
@@ -109,15 +112,16 @@ def redact_private(c: Column) -> Column:
 
 
 def contains_personal_data(c: Column) -> Column:
-    decoded = urls.decode(c)
-    return (
-        decoded.rlike(P.NATIONAL_ID) | decoded.rlike(P.PERSON_ROLE) | decoded.rlike(P.PHONE) | decoded.rlike(P.EMAIL)
+    return let(
+        urls.decode(c),
+        lambda t: t.rlike(P.NATIONAL_ID) | t.rlike(P.PERSON_ROLE) | t.rlike(P.PHONE) | t.rlike(P.EMAIL),
     )
 
 
 def contains_known(c: Column, identifiers: Column) -> Column:
-    decoded = F.lower(urls.decode(c))
-    return F.exists(identifiers, lambda x: decoded.contains(F.lower(x["value"])))
+    return let(
+        F.lower(urls.decode(c)), lambda t: F.exists(identifiers, lambda x: t.contains(F.lower(x["value"])))
+    )
 
 
 def leaks(c: Column, identifiers: Column | None = None) -> Column:

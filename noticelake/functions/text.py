@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,8 +20,16 @@ def text(value: str) -> Column:
     return F.lit(value)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use``, however often that refers to it.
+
+    Without the binding a long text would be searched again for every reference.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def clean(c: Column) -> Column:
@@ -67,7 +76,10 @@ def amount(c: Column) -> Column:
     With unit characters every ``number unit`` term is weighted and a trailing plain
     number is added; without any, the first digit run counts. Nothing readable -> NULL.
     """
-    digits = ascii_digits(c)
+    return let(ascii_digits(c), _amount)
+
+
+def _amount(digits: Column) -> Column:
     terms = extract_all(digits, rf"[\d,]*\d[\d,]*\s*[{P.UNIT_CHARS}]")
     weight = F.create_map(*[x for unit, value in P.AMOUNT_UNITS.items() for x in (F.lit(unit), F.lit(value))])
     weighted = F.aggregate(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null
+from .text import blank_to_null, let
 
 
 def scheme(c: Column) -> Column:
@@ -61,10 +61,13 @@ def default_port(c: Column) -> Column:
 
 def is_registered(c: Column, hosts: list[str], blocked_prefixes: tuple[str, ...] = ()) -> Column:
     """HTTPS on a registered host, without credentials, on port 443, off blocked paths."""
-    ok = (scheme(c) == "https") & host(c).isin(hosts) & has_no_credentials(c) & default_port(c)
-    for prefix in blocked_prefixes:
-        ok = ok & ~F.lower(decode(path(c))).startswith(prefix)
-    return F.coalesce(ok, F.lit(False))
+    def judge(u: Column) -> Column:
+        ok = (scheme(u) == "https") & host(u).isin(hosts) & has_no_credentials(u) & default_port(u)
+        for prefix in blocked_prefixes:
+            ok = ok & ~F.lower(decode(path(u))).startswith(prefix)
+        return ok
+
+    return F.coalesce(let(c, judge), F.lit(False))
 
 
 def is_government(c: Column) -> Column:
@@ -79,6 +82,10 @@ def origin(c: Column) -> Column:
 
 def join_url(base: Column, ref: Column) -> Column:
     """Absolute form of a reference found on a page: absolute, host-relative, query-only or relative."""
+    return let(ref, lambda r: _join(base, r))
+
+
+def _join(base: Column, ref: Column) -> Column:
     base_scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     base_origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
     no_query = F.regexp_extract(base, r"^[^?#]*", 0)

@@ -11,6 +11,7 @@ from noticelake.operators.filters import PRESETS, Filters, apply_filters, keywor
 from noticelake.operators.query_params import normalize_queries
 
 from .derive import AS_OF, base, market, spark_sql, with_market
+from .registry import Registry
 
 c = F.col
 
@@ -97,18 +98,7 @@ def listed(select: str, *more: str) -> str:
     return with_market(select, ORACLE_LISTING, *more)
 
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+query = Registry()
 
 
 @query("listing_view", listed(f"SELECT {', '.join(SHOWN)} FROM listing"))
