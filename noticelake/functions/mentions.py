@@ -48,6 +48,6 @@ def plates_for_type(text: Column, plates: Column, vehicle_type: Column) -> Colum
     """Plates of the selected vehicle type in a text that mentions both types."""
     both = text.rlike(P.MOTORCYCLE_WORDING) & text.rlike(P.CAR_WORDING)
     contested = vehicle_type.isin("MOTORCYCLE", "CAR") & both & (F.size(plates) > 0)
-    select = F.pandas_udf(_select, T.ArrayType(T.StringType()))
+    select = F.pandas_udf(_select, T.ArrayType(T.StringType())).asNondeterministic()
     chosen = select(F.when(contested, text), F.when(contested, plates), F.when(contested, vehicle_type))
     return F.when(contested, chosen).otherwise(plates)

@@ -50,7 +50,7 @@ def nfkc_clean(c: Column) -> Column:
 
     Spark has no normalization function, so this one step is an Arrow UDF.
     """
-    return clean(F.translate(F.pandas_udf(_nfkc, T.StringType())(F.coalesce(c, F.lit(""))), "⾞", "車"))
+    return clean(F.translate(F.pandas_udf(_nfkc, T.StringType()).asNondeterministic()(F.coalesce(c, F.lit(""))), "⾞", "車"))
 
 
 def extract(c: Column, pattern: str, group: int = 0) -> Column:

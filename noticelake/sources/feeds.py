@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions import facts, urls
 from ..functions.text import blank_to_null, feed_record_id, nfkc_clean
 from ..operators.dedupe import last_per_key
+from ..operators.unnest import unnest
 
 # Element and attribute names of the open-data feed.
 FEED_ROOT = "財物變賣公告名單"
@@ -91,7 +92,7 @@ def result_total(payload: Column) -> Column:
 def court_items(payloads: DataFrame, payload: str = "content", arrival: str = "arrival") -> DataFrame:
     """Discovered court rows from landed query results; a later payload wins per row id."""
     row = F.col("row")
-    exploded = payloads.select(F.col(arrival), F.posexplode(result_rows(F.col(payload))).alias("row_no", "row"))
+    exploded = unnest(payloads, result_rows(F.col(payload)), "row", arrival, position="row_no")
     shaped = exploded.select(
         F.struct(F.col(arrival), F.col("row_no")).alias("arrival"),
         F.trim(F.get_json_object(row, "$.rowid")).alias("source_record_id"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null, clean
+from ..operators.unnest import unnest
 
 # Elements without content, and elements whose text is never shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -95,10 +96,14 @@ def _read_pages(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def parse_html(c: Column) -> Column:
-    """struct<nodes, strings> of an HTML string column."""
+    """struct<nodes, strings> of an HTML string column.
+
+    Marked non-deterministic so that the optimizer never reads a page twice: a filter on
+    something found on the page stays above the one evaluation.
+    """
     typed: Callable = _read_pages
     typed.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(typed, PAGE)(c)
+    return F.pandas_udf(typed, PAGE).asNondeterministic()(c)
 
 
 def with_page(df: DataFrame, html: str, name: str = "page") -> DataFrame:
@@ -221,7 +226,7 @@ def page_nodes(df: DataFrame, key: str = "page_id", page: str = "page") -> DataF
     flat = F.transform(
         p.nodes, lambda n: F.struct(n.alias("node"), p.text(n).alias("text"))
     )
-    return df.select(key, F.explode(flat).alias("x")).select(
+    return unnest(df, flat, "x", key).select(
         key, F.col("x.node.pos").alias("pos"), F.col("x.node.parent").alias("parent"), F.col("x.node.tag").alias("tag"),
         F.col("x.node.attr_class").alias("class"), F.col("x.node.attr_href").alias("href"), F.col("x.text").alias("text"),
     )
@@ -234,6 +239,6 @@ def page_links(df: DataFrame, key: str = "page_id", page: str = "page") -> DataF
         p.select("a", where=lambda n: n["attr_href"].isNotNull()),
         lambda n: F.struct(n["attr_href"].alias("href"), p.text(n).alias("text")),
     )
-    return df.select(key, F.posexplode(links).alias("link_no", "x")).select(
+    return unnest(df, links, "x", key, position="link_no").select(
         key, "link_no", F.col("x.href").alias("href"), blank_to_null(F.col("x.text")).alias("text")
     )

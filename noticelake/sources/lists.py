@@ -14,6 +14,7 @@ from ..functions import dates, facts, urls
 from ..functions import patterns as P
 from ..functions.text import blank_to_null, clean, nfkc_clean
 from ..operators.dedupe import first_per_key, last_per_key, top_per_key
+from ..operators.unnest import unnest
 from .html import Page, has_class
 
 # Detail routes of the procurement search and the sites' URL shapes.
@@ -49,7 +50,7 @@ def search_rows(pages: DataFrame, order: str = "page_no") -> DataFrame:
     raw = F.transform(
         p.select("tr"), lambda r: F.struct(F.transform(p.inside(r, "td"), p.text).alias("cells"), option(r).alias("action"))
     )
-    rows = pages.select(F.col(order), F.posexplode(raw).alias("row_no", "x")).filter(F.size("x.cells") >= 6)
+    rows = unnest(pages, raw, "x", order, position="row_no").filter(F.size("x.cells") >= 6)
     cell = lambda i: nfkc_clean(F.get("x.cells", F.lit(i)))
     call = r"(formView(?:New|Old|Normal))\((\d+),"
     routes = F.create_map(*[F.lit(x) for pair in PROCUREMENT_ROUTES.items() for x in pair])
@@ -91,7 +92,7 @@ def central_list(pages: DataFrame, order: str = "page_no") -> DataFrame:
     ))
     url = urls.join_url(F.lit(CENTRAL_ORIGIN), F.col("x.href"))
     listed = (
-        pages.select(F.col(order), F.posexplode(rows).alias("row_no", "x"))
+        unnest(pages, rows, "x", order, position="row_no")
         .filter(F.col("x.href").isNotNull() & facts.is_central_list_vehicle(F.col("x.title")))
         .select(_arrival(order, "row_no"), url.alias("official_url"), "x.title", "x.organization", "x.published_date")
         .filter(urls.host(F.col("official_url")).isin(CENTRAL_HOSTS))
@@ -116,7 +117,7 @@ def central_record_id(url: Column) -> Column:
 def exact_rows(pages: DataFrame, content: str = "content", order: str = "page_no") -> DataFrame:
     """Every raw ``<tr>`` slice of a landed list as its own artifact with checksum."""
     raw = F.regexp_extract_all(F.col(content), F.lit(r"(?is)<tr\b[^>]*>.*?</tr\s*>"), F.lit(0))
-    return pages.select(F.col(order), F.posexplode(raw).alias("row_no", "row_html")).withColumn(
+    return unnest(pages, raw, "row_html", order, position="row_no").withColumn(
         "checksum_sha256", F.sha2("row_html", 256)
     )
 
@@ -143,7 +144,7 @@ def sale_links(pages: DataFrame) -> DataFrame:
 
     anchors = p.select("a", where=lambda n: n["attr_href"].contains("AUID="))
     return (
-        pages.select("page_no", "recycler_only", "result_record", F.posexplode(F.transform(anchors, link)).alias("link_no", "x"))
+        unnest(pages, F.transform(anchors, link), "x", "page_no", "recycler_only", "result_record", position="link_no")
         .filter(F.col("x.source_record_id").isNotNull() & F.col("x.title").isNotNull())
         .select("x.source_record_id", "x.title", "recycler_only", "result_record", "page_no", "link_no")
     )
@@ -183,9 +184,8 @@ def office_candidates(pages: DataFrame) -> DataFrame:
         link = F.get(p.inside(r, "a", where=lambda n: n["attr_href"].contains("cntId=")), F.lit(0))
         return F.struct(link["attr_href"].alias("href"), p.text(link).alias("title"), p.text(r).alias("text"))
 
-    rows = pages.select(
-        "office", "organization", "list_url", "current_url", "page_no",
-        F.posexplode(F.transform(shown, row)).alias("row_no", "x"),
+    rows = unnest(
+        pages, F.transform(shown, row), "x", "office", "organization", "list_url", "current_url", "page_no", position="row_no"
     ).filter(F.col("x.href").isNotNull() & (F.col("x.title") != ""))
     target = F.col("official_url")
     detail_path = F.replace(urls.path(F.col("list_url")), F.lit("/multiplehtml/"), F.lit("/singlehtml/"))
@@ -216,7 +216,7 @@ def office_page_links(pages: DataFrame) -> DataFrame:
         lambda u: (urls.scheme(u) == "https") & urls.host(u).isin(CUSTOMS_HOSTS)
         & (urls.path(u) == urls.path(F.col("list_url"))),
     )
-    return pages.select("office", "page_no", F.explode(same).alias("target_url"))
+    return unnest(pages, same, "target_url", "office", "page_no")
 
 
 def branch_lists(pages: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def branch_lists(pages: DataFrame) -> DataFrame:
     url = urls.join_url(F.concat(F.lit("https://"), F.col("host")), F.col("href"))
     where = urls.path(F.col("url"))
     ranked = (
-        pages.select("branch", "host", F.posexplode(anchors).alias("position", "x"))
+        unnest(pages, anchors, "x", "branch", "host", position="position")
         .select("branch", "host", "position", "x.label", "x.href")
         .withColumn("priority", priority)
         .filter(F.col("priority").isNotNull() & ~immovable_only)
@@ -276,7 +276,7 @@ def recent_notices(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
         p.select("table", where=lambda n: has_class(n, "table_list")), lambda t: F.transform(p.inside(t, "tr"), row)
     ))
     listed = (
-        pages.select("branch", "organization", "host", "page_url", F.posexplode(rows).alias("row_no", "x"))
+        unnest(pages, rows, "x", "branch", "organization", "host", "page_url", position="row_no")
         .filter(F.col("x.href").isNotNull() & F.col("x.dated"))
         .withColumn("published_at", dates.roc_list_date(F.col("x.date")))
         .withColumn("official_url", urls.join_url(F.col("page_url"), F.col("x.href")))

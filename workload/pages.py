@@ -48,8 +48,14 @@ def total(identity_: str, auction: str, condition: str, registration: str, fees:
 
 
 def landed(spark, sf_dir, content: str, url: str = "'https://h.gov.tw/x/' || CAST(notice_id AS STRING)", more: str = ""):
-    return notices(spark, sf_dir, f"""SELECT CAST(notice_id AS STRING) AS source_record_id, {url} AS official_url, {content} AS content,
+    pages = notices(spark, sf_dir, f"""SELECT CAST(notice_id AS STRING) AS source_record_id, {url} AS official_url, {content} AS content,
         place_text AS organization{more} FROM notices""")
+    return spread(spark, pages)
+
+
+def spread(spark, pages):
+    """Reading pages is CPU work; the small supplied files would give it too few tasks."""
+    return pages.repartition(spark.sparkContext.defaultParallelism)
 
 
 def facts_of(records, *names: str):
@@ -250,7 +256,7 @@ UNION ALL SELECT notice_id, 'vehicle_class', noun FROM notices WHERE kind <= 5
 UNION ALL SELECT notice_id, 'car_category', noun FROM notices WHERE kind BETWEEN 7 AND 9"""))
 def record_evidence(spark, sf_dir):
     rows = seized_records(spark, sf_dir)[0].select(
-        c("source_record_id").cast("bigint").alias("notice_id"), F.explode("evidence").alias("e"))
+        c("source_record_id").cast("bigint").alias("notice_id"), F.explode_outer("evidence").alias("e"))
     kept = ["official_case_number", "organization", "vehicle_type", "vehicle_class", "car_category"]
     return rows.filter(c("e.field_name").isin(kept)).select("notice_id", c("e.field_name").alias("field_name"), c("e.source_text").alias("source_text"))
 
