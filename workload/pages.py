@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from noticelake.operators import identity, quality
 from noticelake.plans import ingest, publish
 from noticelake.plans.notices import normalize
+from noticelake.session import cut_lineage
 from noticelake.sources import feeds, html, lists, manifests
 
 from .derive import AS_OF, notices, with_notices
@@ -341,7 +342,8 @@ def saved_tables(spark, sf_dir):
     from noticelake.functions.text import stable_id
 
     pages = landed(spark, sf_dir, SEIZED)
-    records = normalize("moj_auction", pages, AS_OF)[0].withColumn("source_adapter", F.lit("moj_auction"))
+    # Thirteen tables are derived from the records: parse once, then cut the lineage.
+    records = cut_lineage(normalize("moj_auction", pages, AS_OF)[0].withColumn("source_adapter", F.lit("moj_auction")))
     artifacts = pages.select(
         F.lit("moj_auction").alias("source_adapter"), "source_record_id", "official_url", F.lit(AS_OF).cast("timestamp").alias("fetched_at"),
         F.lit("text/html").alias("mime_type"), F.sha2("content", 256).alias("checksum_sha256"), F.lit(0).alias("artifact_no"))
