@@ -95,7 +95,8 @@ def hide_personal_data(c: Column) -> Column:
     out = F.regexp_replace(c, P.VIN, P.HIDDEN_VIN)
     out = F.regexp_replace(out, P.LABELLED_IDENTIFIER, "$1已隱藏")
     out = F.regexp_replace(out, P.PHONE, P.HIDDEN_PHONE)
-    out = F.regexp_replace(out, P.EMAIL, P.HIDDEN_EMAIL)
+    # The address pattern starts at every word; texts without an @ need no search at all.
+    out = let(out, lambda t: F.when(t.contains("@"), F.regexp_replace(t, P.EMAIL, P.HIDDEN_EMAIL)).otherwise(t))
     out = F.regexp_replace(out, P.NATIONAL_ID, P.HIDDEN_ID)
     return F.regexp_replace(out, P.PERSON_ROLE, "$1：已隱去")
 
@@ -114,7 +115,7 @@ def redact_private(c: Column) -> Column:
 def contains_personal_data(c: Column) -> Column:
     return let(
         urls.decode(c),
-        lambda t: t.rlike(P.NATIONAL_ID) | t.rlike(P.PERSON_ROLE) | t.rlike(P.PHONE) | t.rlike(P.EMAIL),
+        lambda t: t.rlike(P.NATIONAL_ID) | t.rlike(P.PERSON_ROLE) | t.rlike(P.PHONE) | (t.contains("@") & t.rlike(P.EMAIL)),
     )
 
 

@@ -179,9 +179,10 @@ def materialize(listing: DataFrame, path: str) -> None:
 def listing_photos(photos: DataFrame) -> DataFrame:
     """Distinct stored photos per listing in display order, one row each."""
     owner = F.coalesce(c("vehicle_id"), c("lot_id"))
+    entity = F.when(c("vehicle_id").isNotNull(), "vehicle").otherwise("lot")
     return (
         photos.filter(c("storage_path").isNotNull() & owner.isNotNull())
-        .groupBy(owner.alias("listing_id"), c("storage_path").alias("photo_path"))
+        .groupBy(owner.alias("listing_id"), entity.alias("listing_entity"), c("storage_path").alias("photo_path"))
         .agg(F.min("sort_order").alias("sort_order"))
     )
 
@@ -230,12 +231,13 @@ def listing_detail(t: dict[str, DataFrame], ids: DataFrame) -> DataFrame:
     evidence = t["evidence"].join(
         wanted, (c("entity_type") == c("listing_entity")) & (c("entity_id") == c("listing_id"))
     ).join(t["records"].select(c("id").alias("record_id"), "official_url"), "record_id")
-    history = t["observations"].join(wanted, c("vehicle_id") == c("listing_id"))
-    photos = listing_photos(t["photos"]).join(wanted.select("listing_id"), "listing_id")
+    vehicles = wanted.filter(c("listing_entity") == "vehicle")
+    history = t["observations"].join(vehicles, c("vehicle_id") == c("listing_id"))
+    photos = listing_photos(t["photos"]).join(wanted, ["listing_id", "listing_entity"])
     pairs = t["duplicates"]
     sides = pairs.withColumns({"own": c("left_id"), "other": c("right_id")}).unionByName(
         pairs.withColumns({"own": c("right_id"), "other": c("left_id")}))
-    duplicates = sides.join(wanted, c("own") == c("listing_id"))
+    duplicates = sides.join(vehicles, c("own") == c("listing_id"))
     documents = document_links(t["documents"], t["artifacts"]).join(
         ids.select(c("id").alias("listing_id"), c("source_record_id").alias("record_id")), "record_id")
     return (

@@ -9,10 +9,10 @@ expression inside the same row: no explode, no shuffle, each page read once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +34,6 @@ PAGE = T.StructType([
     T.StructField("nodes", T.ArrayType(NODE)),
     T.StructField("strings", T.ArrayType(T.StringType())),
 ])
-INTEGER_FIELDS = {"pos": 0, "parent": 1, "end": 2, "s_from": 3, "s_to": 4}
 
 
 class _Nodes(HTMLParser):
@@ -82,17 +81,29 @@ class _Nodes(HTMLParser):
         self._close_to(0)
 
 
-def _read_pages(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    names = NODE.names
-    for pages in batches:
-        nodes, strings = [], []
-        for page in pages:
-            reader = _Nodes()
-            reader.feed(page or "")
-            reader.finish()
-            nodes.append([dict(zip(names, n)) for n in reader.nodes])
-            strings.append(reader.strings)
-        yield pd.DataFrame({"nodes": nodes, "strings": strings})
+def _read_pages(pages: pa.Array) -> pa.Array:
+    """Columnar form of a batch of pages; node attributes never become row dicts."""
+    columns: list[list] = [[] for _ in NODE.names]
+    strings: list[str] = []
+    node_ends, string_ends = [0], [0]
+    for page in pages.to_pylist():
+        reader = _Nodes()
+        reader.feed(page or "")
+        reader.finish()
+        for column, values in zip(columns, zip(*reader.nodes)):
+            column.extend(values)
+        strings.extend(reader.strings)
+        node_ends.append(node_ends[-1] + len(reader.nodes))
+        string_ends.append(len(strings))
+    kinds = [pa.int32() if f.dataType.typeName() == "integer" else pa.string() for f in NODE.fields]
+    nodes = pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], NODE.names)
+    return pa.StructArray.from_arrays(
+        [
+            pa.ListArray.from_arrays(pa.array(node_ends, pa.int32()), nodes),
+            pa.ListArray.from_arrays(pa.array(string_ends, pa.int32()), pa.array(strings, pa.string())),
+        ],
+        PAGE.names,
+    )
 
 
 def parse_html(c: Column) -> Column:
@@ -101,9 +112,7 @@ def parse_html(c: Column) -> Column:
     Marked non-deterministic so that the optimizer never reads a page twice: a filter on
     something found on the page stays above the one evaluation.
     """
-    typed: Callable = _read_pages
-    typed.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(typed, PAGE).asNondeterministic()(c)
+    return F.arrow_udf(_read_pages, PAGE).asNondeterministic()(c)
 
 
 def with_page(df: DataFrame, html: str, name: str = "page") -> DataFrame:

@@ -344,8 +344,8 @@ def labels(spark, sf_dir):
 
 
 @query("listing_photos", with_market("""
-SELECT coalesce(vehicle_id, lot_id) AS listing_id, storage_path AS photo_path, min(sort_order) AS sort_order
-FROM photos WHERE storage_path IS NOT NULL GROUP BY 1, 2"""))
+SELECT coalesce(vehicle_id, lot_id) AS listing_id, CASE WHEN vehicle_id IS NULL THEN 'lot' ELSE 'vehicle' END AS listing_entity, storage_path AS photo_path,
+  min(sort_order) AS sort_order FROM photos WHERE storage_path IS NOT NULL GROUP BY 1, 2, 3"""))
 def photo_list(spark, sf_dir):
     return listing.listing_photos(market(spark, sf_dir)["photos"])
 
