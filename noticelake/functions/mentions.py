@@ -45,9 +45,12 @@ def _select(texts: pd.Series, plates: pd.Series, kinds: pd.Series) -> pd.Series:
 
 
 def plates_for_type(text: Column, plates: Column, vehicle_type: Column) -> Column:
-    """Plates of the selected vehicle type in a text that mentions both types."""
+    """Plates of the selected vehicle type in a text that mentions both types.
+
+    Pass computed columns, not the expressions behind them: they become UDF inputs.
+    """
     both = text.rlike(P.MOTORCYCLE_WORDING) & text.rlike(P.CAR_WORDING)
     contested = vehicle_type.isin("MOTORCYCLE", "CAR") & both & (F.size(plates) > 0)
-    select = F.pandas_udf(_select, T.ArrayType(T.StringType())).asNondeterministic()
+    select = F.pandas_udf(_select, T.ArrayType(T.StringType()))
     chosen = select(F.when(contested, text), F.when(contested, plates), F.when(contested, vehicle_type))
     return F.when(contested, chosen).otherwise(plates)

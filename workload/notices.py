@@ -190,10 +190,10 @@ SELECT notice_id, 'MOT-1111' || CASE WHEN n = 1 THEN ',' || plate ELSE '' END AS
 def plates_by_mention(spark, sf_dir):
     rows = notices(spark, sf_dir, """SELECT notice_id, '機車一輛車號MOT-1111' || repeat('甲', 120) || '小客車一輛車號CAR-2222' || repeat('乙', 120)
         || CASE n WHEN 1 THEN '重機' WHEN 2 THEN '轎車' ELSE '' END || '另案' || plate AS t FROM notices""")
-    plates = facts.plates(c("t"))
+    rows = rows.withColumn("plates", facts.plates(c("t")))
 
     def kept(kind: str):
-        return F.array_join(plates_for_type(c("t"), plates, F.lit(kind)), ",")
+        return F.array_join(plates_for_type(c("t"), c("plates"), F.lit(kind)), ",")
 
     return rows.select("notice_id", kept("MOTORCYCLE").alias("motorcycle"), kept("CAR").alias("car"), kept("MIXED").alias("mixed"))
 

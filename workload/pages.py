@@ -402,7 +402,7 @@ def exact_rows(spark, sf_dir):
 
 
 @query("sale_links", with_notices("""
-SELECT CAST(floor(notice_id / 2) AS VARCHAR) AS source_record_id,
+SELECT CAST(CAST(floor(notice_id / 2) AS BIGINT) AS VARCHAR) AS source_record_id,
   arg_max(noun || notice_id, CASE WHEN n = 4 THEN -1000000000 - floor(notice_id / 20) * 10000 + notice_id ELSE notice_id END) AS title, bool_and(n = 4) AS result_record
 FROM notices WHERE n <> 4 OR noun LIKE '%車%' OR noun LIKE '%重機%' GROUP BY floor(notice_id / 2)"""))
 def sale_links(spark, sf_dir):
@@ -523,7 +523,7 @@ def feed_match(spark, sf_dir):
 
 
 @query("court_items", with_notices("""
-SELECT CAST(floor(notice_id / 2) AS VARCHAR) AS source_record_id, arg_max(noun, notice_id) AS title,
+SELECT CAST(CAST(floor(notice_id / 2) AS BIGINT) AS VARCHAR) AS source_record_id, arg_max(noun, notice_id) AS title,
   'https://aomp109.judicial.gov.tw/judbp/wkw/WHD1A02/DO_VIEWPDF.htm?filenm=%2Fa%2F' || arg_max(notice_id, notice_id) || '.pdf' AS official_url
 FROM notices WHERE cond <> 5 GROUP BY floor(notice_id / 2)"""))
 def court_items(spark, sf_dir):
