@@ -37,9 +37,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feed_updates(spark: SparkSession, path: str) -> DataFrame:
-    head = spark.read.text(path, wholetext=True)
+    """Update time of each feed file, from the line that opens its root element."""
     opening = F.regexp_extract("value", f"<{FEED_ROOT}[^>]*>", 0)
-    return head.select(
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         blank_to_null(nfkc_clean(F.regexp_extract(opening, f'{FEED_UPDATED}="([^"]*)"', 1))).alias("feed_updated_at"),
     ).filter(opening != "")

@@ -161,7 +161,7 @@ _REGISTERED: dict[tuple[str, str], str] = {}
 
 def base_views(spark: SparkSession, sf_dir: str) -> str:
     """Temporary views of the supplied tables, made once per session; returns their prefix."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark._jsparkSession.sessionUUID(), sf_dir)
     if key not in _REGISTERED:
         prefix = f"supplied_{len(_REGISTERED)}_"
         for name in BASE_TABLES:
