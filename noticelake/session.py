@@ -44,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
