@@ -10,3 +10,15 @@ streaming   the same operators over Structured Streaming sources
 """
 
 PARSER_VERSION = "1.4.0"
+
+
+def _ship() -> None:
+    """Send the package's functions with each job, so that executors need no installed copy of it."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship()
