@@ -22,7 +22,7 @@ CHUNK_BYTES = 2 << 20
 
 _STEP = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(20240817).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: list[np.ndarray] = []
+_powers: list[np.ndarray] = []  # filled in tasks alone
 
 
 def mix(h: np.ndarray) -> np.ndarray:
