@@ -35,3 +35,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   b.source, round(rate, 9) AS host_rate
 FROM b JOIN rates ON b.source IS NOT DISTINCT FROM rates.source
 """
+
+SQL["op6_substrings"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS v FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+), late AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY v) < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS p FROM late, range(50) AS r(k)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, oracles, packing, simhash
+from . import host_rules, oracles, packing, simhash, substrings
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.cut_documents(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), size=3, radius=2)
