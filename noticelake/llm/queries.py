@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, oracles, packing, simhash, substrings
+from . import host_rules, mixing, oracles, packing, simhash, substrings
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.cut_documents(table(spark, sf_dir, "documents"))
