@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, mixing, oracles, packing, simhash, substrings
+from . import host_rules, mixing, oracles, packing, quality, simhash, substrings
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    judged = quality.scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    score = F.col("_score")
+    return judged.select(
+        "doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), score.alias("score"), F.when(score >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
