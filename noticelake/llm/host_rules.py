@@ -95,17 +95,17 @@ def host_verdicts(figured: DataFrame, failed: Column, limit: float = HOST_LIMIT)
     hosts = figured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(failed.cast("long")).alias("n_failed")
     ).withColumn("rate", F.col("n_failed") / F.col("n_docs"))
-    prior = hosts.agg(
+    # four numbers about all hosts
+    found = hosts.agg(
         (F.sum("n_failed") / F.sum("n_docs")).alias("mean"), F.var_pop("rate").alias("spread"),
         F.avg(1.0 / F.col("n_docs")).alias("inverse"), F.avg("n_docs").alias("size"),
-    ).withColumn("between", F.col("spread") - F.col("mean") * (1 - F.col("mean")) * F.col("inverse"))
-    strength = F.when(F.col("between") > 0, F.greatest(F.lit(1.0), F.col("mean") * (1 - F.col("mean")) / F.col("between") - 1)).otherwise(F.col("size"))
-    prior = prior.select(F.col("mean"), strength.alias("strength"))
-    rate = (F.col("n_failed") + F.col("mean") * F.col("strength")) / (F.col("n_docs") + F.col("strength"))
-    # prior is one row, so this join only adds two numbers to every host
-    return hosts.join(prior, F.lit(True)).select(
-        "host", "n_docs", "n_failed", rate.alias("host_rate"), (rate > limit).alias("host_rejected")
-    )
+    ).first()
+    mean, strength = found["mean"] or 0.0, found["size"] or 1.0
+    between = (found["spread"] or 0.0) - mean * (1 - mean) * (found["inverse"] or 0.0)
+    if between > 0:
+        strength = max(1.0, mean * (1 - mean) / between - 1)
+    rate = (F.col("n_failed") + mean * strength) / (F.col("n_docs") + strength)
+    return hosts.select("host", "n_docs", "n_failed", rate.alias("host_rate"), (rate > limit).alias("host_rejected"))
 
 
 def host_rules(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:

@@ -174,19 +174,22 @@ def link_fingerprints(nodes: DataFrame, radius: int = 2, shard: int = SHARD) ->
     """nodes (fp, rep: distinct fingerprints and their smallest document) to links (a, b) of documents, enough to join all
     fingerprints that reach each other by steps of at most radius bits."""
     spark = nodes.sparkSession
-    masks = [(0, m) for m in _parts(0, radius + 1)]
-    rows, links = nodes.withColumn("mask", F.lit(0).cast("long")), None
+    masks = _parts(0, radius + 1)
+    rows, links = nodes.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in masks]))), None
     while masks:
-        # at most (radius + 1) ** level rows
-        table = spark.createDataFrame([(_signed(a), _signed(b)) for a, b in masks], "mask long, finer long")
-        rows = rows.join(F.broadcast(table), "mask").select("fp", "rep", F.col("finer").alias("mask")).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
+        rows = rows.withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = rows.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sized = cut_lineage(rows.join(sizes, ["mask", "part"]))
         small = sized.filter(F.col("n") <= shard).select("mask", "part", "fp", "rep")
         found = small.repartition("mask", "part").sortWithinPartitions("mask", "part", "rep").mapInArrow(partial(_tree_links, radius=radius), "a long, b long")
         links = found if links is None else links.union(found)
         rows = sized.filter(F.col("n") > shard).select("mask", "fp", "rep")
-        masks = [(m, finer) for _, m in masks for finer in _parts(m, radius + 1) if finer != m] if not rows.isEmpty() else []
+        finer = [(m, x) for m in masks for x in _parts(m, radius + 1)] if not rows.isEmpty() else []
+        masks = [x for _, x in finer]
+        if finer:
+            # at most (radius + 1) ** level rows, and a few levels fix all bits
+            table = spark.createDataFrame([(_signed(a), _signed(b)) for a, b in finer], "mask long, finer long")
+            rows = rows.join(F.broadcast(table), "mask").select("fp", "rep", F.col("finer").alias("mask"))
     return links
 
 
