@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, mixing, oracles, packing, quality, simhash, substrings
+from . import host_rules, mixing, oracles, packing, quality, simhash, substrings, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -56,6 +56,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digests(pieces)
 
 
+#: Fixed by the contract.
+URL_RULES = [
+    url_filter.Rule("com", "/", "allow"), url_filter.Rule("example.com", "/en/", "block"), url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"), url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.host_rules(table(spark, sf_dir, "documents"))
