@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
+from . import extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -32,6 +32,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.main_text(pages, extraction.fit_labeller(pages))
+
+
 @query
 def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.quantized(table(spark, sf_dir, "embeddings"), 64), F.col("vec_id") % 20 == 0, k=20)
