@@ -115,11 +115,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     """doc_id, text_key, lo, n: stretches of windows (first window, how many) to remove from a document."""
     keyed = _keyed(docs).filter("doc_id is not null")
     arcs = stored(keyed.mapInArrow(partial(_arc_rows, window=window, kmer=kmer), "edge long, arc long, doc_id long, text_key long, lo int, n int"))
-    repeated = arcs.groupBy("edge").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("edge")
+    edges = arcs.groupBy("edge").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), (F.min("arc") < F.max("arc")).alias("branches"))
+    repeated = edges.filter("a < b").select("edge", "branches")
     hits = stored(arcs.join(repeated, "edge"))
     firsts = hits.groupBy("edge", "arc").agg(F.min("doc_id").alias("first"))
-    branching = firsts.groupBy("edge").agg((F.count(F.lit(1)) > 1).alias("branches"))
-    judged = stored(hits.join(firsts, ["edge", "arc"]).join(branching, "edge").select("doc_id", "text_key", "lo", "n", "first", "branches"))
+    judged = stored(hits.join(firsts, ["edge", "arc"]).select("doc_id", "text_key", "lo", "n", "first", "branches"))
     settled = judged.filter("doc_id > first").select("doc_id", "text_key", "lo", "n")
     asked = _lists(judged.filter("doc_id = first and branches").select("doc_id", "text_key", "lo", "n"))
     # the same join to the texts follows in with_spans(): Spark reuses its exchange of them
