@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
+from . import ctw, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(table(spark, sf_dir, "documents"), quality.fold(F.col("doc_id"), 7) == 2)
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
