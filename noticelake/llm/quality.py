@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .text import Words, mix, pieces, sums
 
-SAMPLE = 4000
+SAMPLE = 3000
 CHUNK = 8 << 20
 
 
@@ -138,15 +138,20 @@ def document_values(model: Model, figures: np.ndarray, sizes: np.ndarray, first:
     return np.log(mean / (1 - mean))
 
 
+def sampled_figures(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """line_figures() of these texts, some at a time to bound the memory in between."""
+    parts = [line_figures(data, offsets) for lo in range(0, len(texts), 200) for _, _, data, offsets in pieces(pa.array(texts[lo : lo + 200], pa.large_string()), 1 << 20)]
+    counts = np.concatenate([np.diff(first) for _, _, first in parts])
+    return np.concatenate([f for f, _, _ in parts]), np.concatenate([s for _, s, _ in parts]), np.concatenate([[0], np.cumsum(counts)])
+
+
 def fit(texts: list[str], labels: list[int], steps: int = 200, decay: float = 1e-4) -> Model:
     """Penalised maximum likelihood by Adam on the whole sample, then the logistic curve on top."""
     share = float(np.mean(labels)) if labels else 0.5
     constant = Model(np.zeros(3 * FIGURES), np.zeros((2, 2)), 0.0, float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
     if len(set(labels)) < 2:
         return constant
-    column = pa.array(texts, pa.large_string())
-    _, _, data, offsets = next(pieces(column, 1 << 40))
-    figures, sizes, first = line_figures(data, offsets)
+    figures, sizes, first = sampled_figures(texts)
     x, y = with_neighbours(figures, first), np.repeat(np.array(labels), np.diff(first))
     # each text counts alike, however many lines it has
     per = np.repeat(1.0 / np.diff(first), np.diff(first))
@@ -196,8 +201,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out: int = 5, sample: i
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most sample rows
-    rows = texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()
-    return fit([r["text"] or "" for r in rows], [int(r["quality"]) for r in rows])
+    rows = texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).toLocalIterator()
+    pairs = [(r["text"] or "", int(r["quality"])) for r in rows]
+    return fit([text for text, _ in pairs], [quality for _, quality in pairs])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
