@@ -149,9 +149,7 @@ class Mix:
 
     def shuffled(self, docs: DataFrame) -> DataFrame:
         """One row per taken copy, docs' columns and shard; shards are shuffled within."""
-        keyed = docs.withColumns({"_id": F.col("doc_id"), "_size": word_count(F.col("text"))})
-        names = docs.columns
-        rows = keyed.select(F.col("_id").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_size").alias("size"), F.struct(*names).alias("_row"))
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("_row"))
         lists = stored(self.draws.groupBy("src", "block").agg(F.collect_list(F.struct("pass", "shard")).alias("drawn")).join(self.blocks.select("src", "block", "ending", "passes"), ["src", "block"]))
         placed = self.place(rows).join(lists, ["src", "block"]).join(self.parts, ["src", "doc_id", "size"], "left")
         taken = placed.select("_row", "doc_id", "ending", "passes", "part", F.explode("drawn").alias("_draw"))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import fresh
 from .text import Words, mix, pieces, sums
 
 SAMPLE = 3000
@@ -180,14 +181,14 @@ def fit(texts: list[str], labels: list[int], steps: int = 200, decay: float = 1e
     return Model(w, moves, float(slope), float(shift))
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, text_at: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Model, text_at: int, name: str) -> Iterator[pa.RecordBatch]:
     """Batches with a score column behind the others."""
     for batch in batches:
         scores = [np.zeros(0)]
         for _, _, data, offsets in pieces(batch.column(text_at), CHUNK):
             value = document_values(model, *line_figures(data, offsets))
             scores.append(1 / (1 + np.exp(-(model.slope * value + model.shift))))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores))], [*batch.schema.names, "_score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores))], [*batch.schema.names, name])
 
 
 def fold(doc_id: Column, n: int) -> Column:
@@ -206,12 +207,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out: int = 5, sample: i
     return fit([text for text, _ in pairs], [quality for _, quality in pairs])
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs and the score of each in _score."""
-    schema = docs.withColumn("_score", F.lit(0.0)).schema
-    return docs.mapInArrow(partial(_score, model=model, text_at=docs.columns.index("text")), schema)
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs and the score of each, in a column of this new name."""
+    schema = docs.withColumn(name, F.lit(0.0)).schema
+    return docs.mapInArrow(partial(_score, model=model, text_at=docs.columns.index("text"), name=name), schema)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> DataFrame:
     """docs whose score is limit or more."""
-    return scored(docs, fit_quality(docs, labels)).filter(F.col("_score") >= limit).select(docs.columns)
+    (name,) = fresh(docs.columns, "score")
+    return scored(docs, fit_quality(docs, labels), name).filter(F.col(name) >= limit).select(docs.columns)

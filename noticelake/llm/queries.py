@@ -31,9 +31,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     judged = quality.scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
-    score = F.col("_score")
+    score = F.col("score")
     return judged.select(
-        "doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), score.alias("score"), F.when(score >= 0.3, 1).otherwise(0).alias("predicted")
+        "doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", F.when(score >= 0.3, 1).otherwise(0).alias("predicted")
     )
 
 

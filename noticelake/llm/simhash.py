@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from noticelake.session import cut_lineage
 
 from .graph import components
+from .tables import fresh, stored
 from .text import Words, mix, pieces
 
 #: A shard above this many fingerprints is split by further bits.
@@ -63,7 +64,7 @@ def simhash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch], size: int, bands: int) -> Iterator[pa.RecordBatch]:
+def _fingerprint(batches: Iterator[pa.RecordBatch], size: int, bands: int, keyed: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in pieces(batch.column("text")):
             hashes, first = shingle_hashes(Words(data, offsets, lower=True), size)
@@ -77,13 +78,17 @@ def _fingerprint(batches: Iterator[pa.RecordBatch], size: int, bands: int) -> It
                     keys[full, k // 2] = mix(keys[full, k // 2] * np.uint64(31) + least)
                 columns.append(pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())))
                 names.append("bands")
+            if keyed:
+                columns.append(batch.column("text_key").slice(lo, hi - lo))
+                names.append("text_key")
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def fingerprints(docs: DataFrame, size: int = 3, bands: int = 0) -> DataFrame:
-    """doc_id, fp (and bands: keys of pairs of min-hashes). One pass over the texts, no shuffle."""
-    schema = "doc_id long, fp long" + ", bands array<long>" * bool(bands)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_fingerprint, size=size, bands=bands), schema)
+def fingerprints(docs: DataFrame, size: int = 3, bands: int = 0, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (and bands: keys of pairs of min-hashes; and text_key, as given). One pass over the texts, no shuffle."""
+    schema = "doc_id long, fp long" + ", bands array<long>" * bool(bands) + ", text_key string" * keyed
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *["text_key"] * keyed)
+    return rows.mapInArrow(partial(_fingerprint, size=size, bands=bands, keyed=keyed), schema)
 
 
 class BKTree:
@@ -233,27 +238,34 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "shingles"])
 
 
-def similar_links(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 16, bands: int = BANDS) -> DataFrame:
-    """Verified links (a, b) between documents (unique doc_id) whose shingle sets have at least this Jaccard similarity.
+def _hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a key that only equal texts share, of the rows with a doc_id."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("text_key")).filter("doc_id is not null")
 
-    A pair at 0.8 shares one of 8 pairs of min-hashes with probability 0.9997. A shard's texts are taken in an order of their
-    own per band, so different texts lead in different bands and groups stay connected. A shard with very many texts is
-    first thinned to leaders in salted parts.
+
+def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 16, bands: int = BANDS) -> DataFrame:
+    """Verified links (a, b) between documents whose shingle sets have at least this Jaccard similarity.
+
+    docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
+    min-hashes with probability 0.9997. A shard's texts are taken in an order of their own per band, so different texts lead
+    in different bands and groups stay connected. A shard with very many texts is first thinned to leaders in salted parts.
     """
-    made = fingerprints(docs, size, bands).filter("doc_id is not null")
-    rows = made.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id"), "fp")
-    rows = cut_lineage(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
+    made = fingerprints(docs, size, bands, keyed=True).join(firsts, ["doc_id", "text_key"], "left_semi")
+    rows = made.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id"), "fp").distinct()
+    rows = stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     rows = rows.join(shared, ["band", "key"]).select("band", "key", "salt", "rank", "id", "fp")
     schema = "band int, key long, salt int, rank long, id long, fp long, leader long"
-    led = cut_lineage(rows.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "rank", "id").mapInArrow(partial(_leaders, keys=["band", "key", "salt"], radius=radius), schema))
+    led = rows.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "rank", "id")
+    led = stored(led.mapInArrow(partial(_leaders, keys=["band", "key", "salt"], radius=radius), schema))
     tops = led.filter("id = leader").drop("leader").repartition("band", "key").sortWithinPartitions("band", "key", "rank", "id")
     tops = tops.mapInArrow(partial(_leaders, keys=["band", "key"], radius=radius), schema)
     pairs = led.union(tops).filter("id <> leader").select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")).distinct()
-    pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").mapInArrow(partial(_shingle_sets, size=size), "doc_id long, shingles array<long>")
-    sets = cut_lineage(sets)
+    pairs = stored(pairs)
+    wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(firsts, "doc_id"))
+    sets = docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text")
+    sets = stored(sets.mapInArrow(partial(_shingle_sets, size=size), "doc_id long, shingles array<long>"))
     joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     return joined.filter(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
@@ -262,14 +274,18 @@ def similar_links(docs: DataFrame, size: int = 5, similarity: float = 0.8, radiu
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without all but the smallest doc_id of each group of equal or similar texts; rows without a doc_id stay.
 
-    Texts count as equal when their lower-cased words are; texts without words count as equal too. Of repeated rows with one
-    doc_id the first by text stays.
+    Null and empty texts are equal texts. Of rows that repeat a doc_id the one with the least text key stays, once.
     """
-    keyed = docs.withColumn("_text", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    firsts = cut_lineage(keyed.filter("doc_id is not null").groupBy("_text").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.min("_text").alias("_text")))
-    unique = docs.withColumn("_text", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).join(firsts, ["doc_id", "_text"], "left_semi").dropDuplicates(["doc_id"])
-    groups = components(similar_links(unique.select("doc_id", "text"), size, similarity))
+    keyed = _hashed(docs)
+    firsts = keyed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    firsts = stored(firsts)
+    groups = components(similar_links(keyed, firsts, size, similarity))
     dropped = groups.filter("node <> component").select(F.col("node").alias("doc_id"))
-    kept = cut_lineage(firsts.join(dropped, "doc_id", "left_anti"))
-    out = keyed.filter("doc_id is not null").join(kept, ["doc_id", "_text"], "left_semi").dropDuplicates(["doc_id"])
-    return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    of, key = fresh(docs.columns, "_of", "_key")
+    kept = stored(firsts.join(dropped, "doc_id", "left_anti").select(F.col("doc_id").alias(of), F.col("text_key").alias(key)))
+    text = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    out = docs.join(kept, (F.col("doc_id").cast("long") == F.col(of)) & (text == F.col(key)), "left_semi")
+    twice = keyed.join(kept, (keyed.doc_id == F.col(of)) & (keyed.text_key == F.col(key)), "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.filter("doc_id is null"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import fresh, stored
 from .text import Words, pieces, span_hashes
 
 WINDOW, KMER = 50, 16
@@ -175,7 +175,7 @@ def cut_documents(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> Da
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch], window: int, text_at: int) -> Iterator[pa.RecordBatch]:
-    """Rows with _spans columns last: the text replaced by what is left of it."""
+    """Rows with the arrays of their stretches last: the text replaced by what is left of it."""
     for batch in batches:
         n = batch.num_columns
         small = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.int64()), batch.column(text_at), batch.column(n - 2), batch.column(n - 1)], ["doc_id", "text_key", "text", "los", "ns"])
@@ -187,9 +187,9 @@ def _rewrite(batches: Iterator[pa.RecordBatch], window: int, text_at: int) -> It
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """docs with repeated spans cut from their texts (a line feed stands where one was); other texts stay as they are."""
-    spans = _lists(repeated_spans(docs, window, kmer)).withColumnsRenamed({"doc_id": "_doc", "text_key": "_key", "los": "_los", "ns": "_ns"})
-    text = F.col("text").cast("string")
-    on = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_key"))
-    joined = docs.join(spans, on, "left").select(*docs.columns, "_los", "_ns")
-    cut = joined.mapInArrow(partial(_rewrite, window=window, text_at=docs.columns.index("text")), joined.drop("_los", "_ns").schema)
+    doc, key, los, ns = fresh(docs.columns, "_doc", "_key", "_los", "_ns")
+    spans = _lists(repeated_spans(docs, window, kmer)).withColumnsRenamed({"doc_id": doc, "text_key": key, "los": los, "ns": ns})
+    on = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64(F.col("text").cast("string")) == F.col(key))
+    joined = docs.join(spans, on, "left").select(*docs.columns, los, ns)
+    cut = joined.mapInArrow(partial(_rewrite, window=window, text_at=docs.columns.index("text")), docs.schema)
     return cut

@@ -14,3 +14,13 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/table-{os.urandom(8).hex()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """These names, each with as many _ before it as it takes to be none of the columns."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
