@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import Scratch, stored
 from .text import Words, buffers, sums
 
 DEPTH = 4
@@ -113,15 +113,16 @@ def _shorter(depth: int) -> Column:
 
 def gram_values(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """grams (gram, n: learned occurrences) to (gram, value: log10 of the mixed probability of its last byte in its context)."""
+    scratch = Scratch()
     estimate = F.pandas_udf(_estimate, "double")
     # numbers as sum over values of the bit: all nodes of full depth, then shorter contexts
     leaf = _bits(grams).groupBy("context", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-    levels = {depth: stored(leaf.withColumn("kt", estimate("n0", "n1")).withColumn("pw", F.col("kt")).withColumn("stop", F.lit(1.0)))}
+    levels = {depth: scratch.stored(leaf.withColumn("kt", estimate("n0", "n1")).withColumn("pw", F.col("kt")).withColumn("stop", F.lit(1.0)))}
     for d in range(depth - 1, -1, -1):
         up = levels[d + 1].groupBy(_shorter(d).alias("context"), "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("below"))
         up = up.withColumn("kt", estimate("n0", "n1")).withColumn("most", F.greatest("kt", "below"))
         pw = F.col("most") + F.log(F.exp(F.col("kt") - F.col("most")) + F.exp(F.col("below") - F.col("most"))) - math.log(2)
-        levels[d] = stored(up.withColumn("pw", pw).withColumn("stop", F.exp(F.col("kt") - math.log(2) - F.col("pw"))).drop("below", "most"))
+        levels[d] = scratch.stored(up.withColumn("pw", pw).withColumn("stop", F.exp(F.col("kt") - math.log(2) - F.col("pw"))).drop("below", "most"))
     one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
     mixed = levels[0].select("context", "node", (F.col("stop") * one).alias("p"), (1 - F.col("stop")).alias("rest"))
     for d in range(1, depth + 1):
@@ -129,7 +130,9 @@ def gram_values(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
         joined = levels[d].join(above, (_shorter(d - 1) == F.col("_context")) & (F.col("node") == F.col("_node")))
         mixed = joined.select("context", "node", (F.col("_p") + F.col("_rest") * F.col("stop") * one).alias("p"), (F.col("_rest") * (1 - F.col("stop"))).alias("rest"))
     decided = _bits(grams.select("gram")).join(mixed.select("context", "node", "p"), ["context", "node"])
-    return decided.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("value"))
+    values = stored(decided.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("value")))
+    scratch.drop()
+    return values
 
 
 def _score(key: tuple, block: pa.Table, values: pa.Table, tokens: int, kinds: int, ends: int) -> pa.Table:

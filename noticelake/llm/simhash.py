@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from noticelake.session import cut_lineage
 
 from .graph import components
-from .tables import fresh, stored
+from .tables import Scratch, fresh, stored
 from .text import Words, mix, pieces
 
 #: A shard above this many fingerprints is split by further bits.
@@ -251,24 +251,27 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     min-hashes with probability 0.9997. A shard's texts are taken in an order of their own per band, so different texts lead
     in different bands and groups stay connected. A shard with very many texts is first thinned to leaders in salted parts.
     """
+    scratch = Scratch()
     made = fingerprints(docs, size, bands, keyed=True).join(firsts, ["doc_id", "text_key"], "left_semi")
     rows = made.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id"), "fp").distinct()
-    rows = stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
+    rows = scratch.stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     rows = rows.join(shared, ["band", "key"]).select("band", "key", "salt", "rank", "id", "fp")
     schema = "band int, key long, salt int, rank long, id long, fp long, leader long"
     led = rows.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "rank", "id")
-    led = stored(led.mapInArrow(partial(_leaders, keys=["band", "key", "salt"], radius=radius), schema))
+    led = scratch.stored(led.mapInArrow(partial(_leaders, keys=["band", "key", "salt"], radius=radius), schema))
     tops = led.filter("id = leader").drop("leader").repartition("band", "key").sortWithinPartitions("band", "key", "rank", "id")
     tops = tops.mapInArrow(partial(_leaders, keys=["band", "key"], radius=radius), schema)
     pairs = led.union(tops).filter("id <> leader").select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")).distinct()
-    pairs = stored(pairs)
-    wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(firsts, "doc_id"))
+    pairs = scratch.stored(pairs)
+    wanted = scratch.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(firsts, "doc_id"))
     sets = docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text")
-    sets = stored(sets.mapInArrow(partial(_shingle_sets, size=size), "doc_id long, shingles array<long>"))
+    sets = scratch.stored(sets.mapInArrow(partial(_shingle_sets, size=size), "doc_id long, shingles array<long>"))
     joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
-    return joined.filter(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
+    links = stored(joined.filter(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b"))
+    scratch.drop()
+    return links
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -279,7 +282,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     keyed = _hashed(docs)
     firsts = keyed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
     firsts = stored(firsts)
-    groups = components(similar_links(keyed, firsts, size, similarity))
+    links = similar_links(keyed, firsts, size, similarity)
+    groups = components(links)
     dropped = groups.filter("node <> component").select(F.col("node").alias("doc_id"))
     of, key = fresh(docs.columns, "_of", "_key")
     kept = stored(firsts.join(dropped, "doc_id", "left_anti").select(F.col("doc_id").alias(of), F.col("text_key").alias(key)))

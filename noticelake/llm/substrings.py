@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import fresh, stored
+from .tables import Scratch, fresh, stored
 from .text import Words, pieces, span_hashes
 
 WINDOW, KMER = 50, 16
@@ -114,21 +114,25 @@ def _lists(spans: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """doc_id, text_key, lo, n: stretches of windows (first window, how many) to remove from a document."""
     keyed = _keyed(docs).filter("doc_id is not null")
-    arcs = stored(keyed.mapInArrow(partial(_arc_rows, window=window, kmer=kmer), "edge long, arc long, doc_id long, text_key long, lo int, n int"))
+    scratch = Scratch()
+    arcs = scratch.stored(keyed.mapInArrow(partial(_arc_rows, window=window, kmer=kmer), "edge long, arc long, doc_id long, text_key long, lo int, n int"))
     edges = arcs.groupBy("edge").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), (F.min("arc") < F.max("arc")).alias("branches"))
     repeated = edges.filter("a < b").select("edge", "branches")
-    hits = stored(arcs.join(repeated, "edge"))
+    hits = scratch.stored(arcs.join(repeated, "edge"))
+    scratch.drop(arcs)
     firsts = hits.groupBy("edge", "arc").agg(F.min("doc_id").alias("first"))
-    judged = stored(hits.join(firsts, ["edge", "arc"]).select("doc_id", "text_key", "lo", "n", "first", "branches"))
+    judged = scratch.stored(hits.join(firsts, ["edge", "arc"]).select("doc_id", "text_key", "lo", "n", "first", "branches"))
+    scratch.drop(hits)
     settled = judged.filter("doc_id > first").select("doc_id", "text_key", "lo", "n")
     asked = _lists(judged.filter("doc_id = first and branches").select("doc_id", "text_key", "lo", "n"))
-    # the same join to the texts follows in with_spans(): Spark reuses its exchange of them
     windows = keyed.join(asked, ["doc_id", "text_key"], "left").filter("los is not null").select("doc_id", "text_key", "text", "los", "ns")
     windows = windows.mapInArrow(partial(_window_rows, window=window), "high long, low long, doc_id long, text_key long, lo int")
-    windows = stored(windows)
+    windows = scratch.stored(windows)
     earlier = windows.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     compared = windows.join(earlier, ["high", "low"]).filter("doc_id > first").select("doc_id", "text_key", "lo", F.lit(1).alias("n"))
-    return settled.union(compared)
+    spans = stored(settled.union(compared))
+    scratch.drop()
+    return spans
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,26 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that an operator needs no longer once its own result is stored."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.tables.append(stored(df))
+        return self.tables[-1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete these tables, or all."""
+        for table in tables or list(self.tables):
+            self.tables = [t for t in self.tables if t is not table]
+            context = table.sparkSession.sparkContext
+            for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """These names, each with as many _ before it as it takes to be none of the columns."""
     taken, out = {c.lower() for c in columns}, []
