@@ -32,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import Scratch, stored
-from .text import Words, buffers, sums
+from .text import Words, pieces, sums
 
-DEPTH = 4
-BLOCK = 12 << 20
+DEPTH = 5
+BLOCK = 24 << 20
+PART = 4 << 20
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
 WORD, GRAM = 0, 1
@@ -59,22 +60,38 @@ def byte_grams(words: Words, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray
     return grams[at], first
 
 
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their counts summed."""
+    key, count = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    if not len(key):
+        return key, count
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[new], np.add.reduceat(count, new)
+
+
 def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and how many learned occurrences each has."""
-    every = np.sort(keys)
-    every = every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
     some, n = np.unique(keys[learned], return_counts=True)
-    counts = np.zeros(len(every), np.int64)
-    counts[np.searchsorted(every, some)] = n
-    return every, counts
+    others = np.unique(keys[~learned])
+    return _merged([some, others], [n, np.zeros(len(others), np.int64)])
+
+
+def _parts(block: pa.Table):
+    """A block's texts, some at a time: (from row, to row, words, grams, each text's first gram and one end)."""
+    for lo, hi, data, offsets in pieces(block["text"].combine_chunks(), PART):
+        words = Words(data, offsets, lower=True)
+        yield lo, hi, words, *byte_grams(words)
 
 
 def _block_keys(key: tuple, block: pa.Table) -> pa.Table:
-    data, offsets = buffers(block["text"].combine_chunks())
-    words = Words(data, offsets, lower=True)
     learned = ~np.asarray(block["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
-    grams, first = byte_grams(words)
-    parts = [_counted(words.hashes(), np.repeat(learned, words.counts)), _counted(grams, np.repeat(learned, np.diff(first)))]
+    found: list[list] = [[], []]
+    for lo, hi, words, grams, first in _parts(block):
+        found[0].append(_counted(words.hashes(), np.repeat(learned[lo:hi], words.counts)))
+        found[1].append(_counted(grams, np.repeat(learned[lo:hi], np.diff(first))))
+    parts = [_merged([k for k, _ in x], [c for _, c in x]) for x in found]
     total = sum(len(k) for k, _ in parts)
     return pa.table({
         "block": pa.array(np.full(total, key[0].as_py(), np.int64)),
@@ -136,33 +153,30 @@ def gram_values(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _score(key: tuple, block: pa.Table, values: pa.Table, tokens: int, kinds: int, ends: int) -> pa.Table:
-    data, offsets = buffers(block["text"].combine_chunks())
-    words = Words(data, offsets, lower=True)
     kind, keys, value = (values[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("kind", "key", "value"))
+    own = {}
+    for which in (WORD, GRAM):
+        mine = kind == which
+        order = np.argsort(keys[mine].view(np.uint64))
+        own[which] = keys[mine].view(np.uint64)[order], value[mine][order]
 
     def look_up(which: int, wanted: np.ndarray) -> np.ndarray:
-        mine = kind == which
-        own, worth = keys[mine].view(np.uint64), value[mine]
-        order = np.argsort(own)
-        own, worth = own[order], worth[order]
-        out = np.empty(len(wanted))
-        for lo in range(0, len(wanted), 1 << 20):
-            part = wanted[lo : lo + (1 << 20)]
-            at = np.searchsorted(own, part)
-            assert np.array_equal(own[at], part), "a key of the block has no value"
-            out[lo : lo + (1 << 20)] = worth[at]
-        return out
-
-    counts = look_up(WORD, words.hashes()) if len(words.starts) else np.zeros(0)
-    grams, first = byte_grams(words)
-    n = len(block)
-    unit = float(tokens + kinds + 1)
-    base = sums(np.log10((counts + 1) / unit), words.first) + math.log10((ends + 1) / unit)
+        known, worth = own[which]
+        if not len(wanted):
+            return np.zeros(0)
+        at = np.searchsorted(known, wanted)
+        assert np.array_equal(known[np.minimum(at, len(known) - 1)], wanted), "a key of the block has no value"
+        return worth[at]
+
+    unit, columns = float(tokens + kinds + 1), []
+    for _, _, words, grams, first in _parts(block):
+        counts = look_up(WORD, words.hashes())
+        base = sums(np.log10((counts + 1) / unit), words.first) + math.log10((ends + 1) / unit)
+        columns.append((words.counts + 1, sums(counts > 0, words.first) + (ends > 0), base, sums(look_up(GRAM, grams), first), np.diff(first)))
+    n_tokens, n_known, base, score, n_bytes = (np.concatenate(x) for x in zip(*columns, strict=True)) if columns else [np.zeros(0)] * 5
     return pa.table({
-        "doc_id": block["doc_id"], "held_out": block["held_out"],
-        "n_tokens": pa.array(words.counts + 1), "n_known": pa.array(sums(counts > 0, words.first) + (ends > 0)),
-        "train_tokens": pa.array(np.full(n, tokens, np.int64)), "base_score": pa.array(base),
-        "score": pa.array(sums(look_up(GRAM, grams), first)), "n_bytes": pa.array(np.diff(first)),
+        "doc_id": block["doc_id"], "held_out": block["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
+        "train_tokens": pa.array(np.full(len(block), tokens, np.int64)), "base_score": pa.array(base), "score": pa.array(score), "n_bytes": pa.array(n_bytes, pa.int64()),
     })
 
 
