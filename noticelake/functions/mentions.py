@@ -8,6 +8,8 @@ passed in as NULL.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,31 +19,50 @@ from pyspark.sql import types as T
 from . import patterns as P
 
 REACH = 100
+# One spelling for comparison; lengths stay, so positions do too.
+_PLAIN = {**{code: code - 32 for code in range(ord("a"), ord("z") + 1)}, ord("－"): "-"}
 
 
-def _nearest_kind(gaps: list[tuple[int, str]]) -> str | None:
-    near = [g for g in gaps if g[0] <= REACH]
-    return min(near, key=lambda g: g[0])[1] if near else None
+class _Wording:
+    """Spans of one kind's wording in a text, in order and without overlap."""
+
+    def __init__(self, pattern: str, text: str):
+        spans = [m.span() for m in re.finditer(pattern, text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def distance(self, start: int, end: int) -> int:
+        """Characters between a span and the nearest wording: the one before it or the one behind it."""
+        at = bisect_right(self.starts, start)
+        before = max(start - self.ends[at - 1], 0) if at else REACH + 1
+        behind = max(self.starts[at] - end, 0) if at < len(self.starts) else REACH + 1
+        return min(before, behind)
+
+
+def _places(text: str, plate: str) -> Iterator[int]:
+    at = text.find(plate)
+    while at >= 0:
+        yield at
+        at = text.find(plate, at + len(plate))
+
+
+def _of_kind(text: str, plates: list[str], kind: str) -> list[str]:
+    motorcycles, cars = _Wording(P.MOTORCYCLE_WORDING, text), _Wording(P.CAR_WORDING, text)
+    plain, kept = text.translate(_PLAIN), []
+    for plate in plates:
+        spelled = plate.translate(_PLAIN)
+        for at in _places(plain, spelled) if spelled else ():
+            reach = (at, at + len(spelled))
+            by_kind = {"MOTORCYCLE": motorcycles.distance(*reach), "CAR": cars.distance(*reach)}
+            # equally near wording counts for the motorcycle
+            nearest = min(by_kind, key=by_kind.__getitem__)
+            if nearest == kind and by_kind[nearest] <= REACH:
+                kept.append(plate)
+                break
+    return kept
 
 
 def _select(texts: pd.Series, plates: pd.Series, kinds: pd.Series) -> pd.Series:
-    wording = {"MOTORCYCLE": re.compile(P.MOTORCYCLE_WORDING), "CAR": re.compile(P.CAR_WORDING)}
-
-    def keep(text, candidates, kind):
-        if text is None:
-            return None
-        mentions = [(m.span(), k) for k, pattern in wording.items() for m in pattern.finditer(text)]
-        kept = []
-        for plate in candidates:
-            spelled = re.compile(re.escape(plate).replace(r"\-", "[-－]"), re.IGNORECASE)
-            for hit in spelled.finditer(text):
-                gaps = [(max(start - hit.end(), hit.start() - end, 0), k) for (start, end), k in mentions]
-                if _nearest_kind(gaps) == kind:
-                    kept.append(plate)
-                    break
-        return kept
-
-    return pd.Series([keep(t, p, k) for t, p, k in zip(texts, plates, kinds)])
+    return pd.Series([None if t is None else _of_kind(t, list(p), k) for t, p, k in zip(texts, plates, kinds, strict=True)])
 
 
 def plates_for_type(text: Column, plates: Column, vehicle_type: Column) -> Column:

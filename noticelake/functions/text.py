@@ -127,8 +127,8 @@ def tokens(c: Column) -> Column:
 
 
 def safe_search_term(c: Column) -> Column:
-    """User keyword reduced to 120 characters without pattern punctuation."""
-    return F.regexp_replace(F.regexp_replace(F.substring(F.trim(c), 1, 120), r"[,%()]", " "), P.SPACE, " ")
+    """User keyword without pattern punctuation."""
+    return F.regexp_replace(F.regexp_replace(F.trim(c), r"[,%()]", " "), P.SPACE, " ")
 
 
 def stable_id(*columns: Column) -> Column:

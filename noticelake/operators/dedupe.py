@@ -26,14 +26,3 @@ def first_per_key(df: DataFrame, keys: list[str], arrival: Column) -> DataFrame:
 def last_per_key(df: DataFrame, keys: list[str], arrival: Column) -> DataFrame:
     return top_per_key(df, keys, [arrival.desc()])
 
-
-def distinct_list(df: DataFrame, keys: list[str], value: str, order: Column, out: str, limit: int) -> DataFrame:
-    """First ``limit`` distinct values per key in order of first appearance.
-
-    ``limit`` is the size the consumer shows; values are first reduced to one row per
-    (key, value) with map-side combine and ranked, so the list built is bounded.
-    """
-    seen = df.groupBy(*keys, value).agg(F.min(order).alias("_order"))
-    ranked = top_per_key(seen, keys, [F.col("_order").asc(), F.col(value).asc()], limit, "_rank")
-    grouped = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rank", value))).alias("_pairs"))
-    return grouped.withColumn(out, F.transform("_pairs", lambda p: p[value])).drop("_pairs")

@@ -54,8 +54,8 @@ def normalize_queries(df: DataFrame, query: str = "query") -> DataFrame:
         value = F.when(F.trim(text) != "", F.trim(text).try_cast("double"))
         return F.when(value.between(0, maximum), value)
 
-    def short(key: str, size: int) -> Column:
-        return F.nullif(F.substring(F.trim(first(key)), 1, size), F.lit(""))
+    def words(key: str) -> Column:
+        return F.nullif(F.trim(first(key)), F.lit(""))
 
     codes = F.create_map(*[F.lit(x) for pair in BAND_CODES.items() for x in pair])
     cc_parts = F.flatten(F.transform(F.filter("_pairs", lambda p: p["key"] == "cc"), lambda p: F.split(p["value"], ",")))
@@ -64,8 +64,8 @@ def normalize_queries(df: DataFrame, query: str = "query") -> DataFrame:
     df = df.withColumns({
         "view": F.coalesce(choice("view", VIEWS), F.lit("active")),
         "sort": F.coalesce(choice("sort", list(SORTS)), F.lit("auction_asc")),
-        "keyword": short("keyword", 120),
-        "brand": short("brand", 40),
+        "keyword": words("keyword"),
+        "brand": words("brand"),
         **{k: choice(k, v) for k, v in CHOICES.items()},
         **{k: F.coalesce(first(k) == "true", F.lit(False)) for k in FLAGS},
         "_cc": F.filter(cc_parts, lambda p: p.isin(list(BAND_CODES))),
@@ -143,7 +143,7 @@ def parse_query(query: str) -> tuple[Filters, int, str | None]:
     low, _, high = (first.get("price") or "").partition("-")
     filters = Filters(
         market_view=view, sort=choice("sort", SORTS) or "auction_asc",
-        keyword=(first.get("keyword") or "").strip()[:120] or None, brand=(first.get("brand") or "").strip()[:40] or None,
+        keyword=(first.get("keyword") or "").strip() or None, brand=(first.get("brand") or "").strip() or None,
         source=choice("source", SOURCES), disposal_origin=choice("origin", DISPOSAL_ORIGINS),
         county=choice("county", COUNTIES), eligibility=choice("eligibility", BID_ELIGIBILITIES),
         registration=choice("registration", REGISTRATION_STATUSES), vehicle_type=choice("vehicleType", VEHICLE_TYPES),

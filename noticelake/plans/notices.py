@@ -203,7 +203,7 @@ def normalize_enforcement(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame
         "lot_size": F.coalesce(F.get("counts", F.lit(0)), F.greatest(F.lit(1), F.size("plates"))),
         "fee_notes": F.array_compact(F.array("fee_note")),
     }).withColumns({
-        "title": F.coalesce(blank_to_null(c("title")), clean(F.substring("description", 1, 120))),
+        "title": F.coalesce(blank_to_null(c("title")), clean(c("description"))),
         "bulk_lot": (c("lot_size") > 1) | (c("vehicle_type") == "MIXED") | text.rlike(VEHICLE_LOT),
     })
     found = [
@@ -534,7 +534,7 @@ def normalize_sale(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
         "condition_summary": c("description"),
         "identifiers": present_identifiers(
             identifier("PLATE", first_plate), identifier("ENGINE", c("engine")), identifier("FRAME", c("frame"))),
-        "vehicle_units": F.when(several, units_of(F.slice("plates", F.lit(1), c("lot_size")))),
+        "vehicle_units": F.when(several, units_of(c("plates"))),
     })
     df = df.withColumns({
         **completeness({

@@ -59,13 +59,14 @@ def with_checksum(df: DataFrame, content: str = "content") -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str, pattern: str | None = None, max_bytes: int | None = None) -> DataFrame:
-    """Scan a folder of landed files; the size cap is pushed to the listing, not the bytes."""
+    """Scan a folder of landed files. One above ``max_bytes``, if given, keeps its row without content, and says so in ``error``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path)
-    if max_bytes is not None:
-        files = files.filter(F.col("length") <= max_bytes)
+    too_large = F.col("length") > F.lit(max_bytes).cast("bigint")
+    files = files.withColumn("error", F.when(too_large, F.lit(f"larger than {max_bytes} bytes")))
+    files = files.withColumn("content", F.when(F.col("error").isNull(), F.col("content")))
     name = F.regexp_extract("path", r"[^/]*$", 0)
     extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     types = {"html": "text/html", "htm": "text/html", "json": "application/json", "xml": "application/xml",
@@ -75,7 +76,7 @@ def read_files(spark: SparkSession, path: str, pattern: str | None = None, max_b
     return with_checksum(
         files.select(
             "path", name.alias("filename"), F.col("modificationTime").alias("fetched_at"),
-            sniffed_type(declared, F.col("content")).alias("mime_type"), "content",
+            sniffed_type(declared, F.col("content")).alias("mime_type"), "content", "error",
         )
     )
 

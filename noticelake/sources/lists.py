@@ -7,7 +7,7 @@ Repeated ids keep the last row in page order unless stated otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, facts, urls
@@ -28,8 +28,6 @@ CENTRAL_ORIGIN = "https://auction.moj.gov.tw"
 CENTRAL_HOSTS = ["auction.moj.gov.tw"]
 SALE_DETAIL = "https://shwoo.gov.taipei/shwoo/newproduct/newproduct00/product?AUID="
 CUSTOMS_HOSTS = ["web.customs.gov.tw"]
-CANDIDATES_PER_PAGE = 20
-LISTS_PER_BRANCH = 2
 LOOK_BACK_DAYS = 90
 
 
@@ -170,15 +168,17 @@ def merge_sale_links(links: DataFrame, keywords: list[str]) -> DataFrame:
     )
 
 
-def office_candidates(pages: DataFrame) -> DataFrame:
-    """Office list rows: at most twenty per page, same channel, exactly one ``cntId``.
+def office_candidates(pages: DataFrame, per_page: int | None = None) -> DataFrame:
+    """Office list rows: same channel, exactly one ``cntId``; all of a page unless ``per_page`` asks for its first ones.
 
     Pages carry ``office``, ``organization``, ``list_url``, ``current_url``, ``page_no``.
     """
     p = Page()
     in_body = F.flatten(F.transform(p.select("tbody"), lambda b: p.inside(b, "tr")))
     all_rows = F.flatten(F.transform(p.select("table"), lambda t: p.inside(t, "tr")))
-    shown = F.slice(F.when(F.size(in_body) > 0, in_body).otherwise(all_rows), 1, CANDIDATES_PER_PAGE)
+    shown = F.when(F.size(in_body) > 0, in_body).otherwise(all_rows)
+    if per_page is not None:
+        shown = F.slice(shown, 1, per_page)
 
     def row(r: Column) -> Column:
         link = F.get(p.inside(r, "a", where=lambda n: n["attr_href"].contains("cntId=")), F.lit(0))
@@ -219,8 +219,8 @@ def office_page_links(pages: DataFrame) -> DataFrame:
     return unnest(pages, same, "target_url", "office", "page_no")
 
 
-def branch_lists(pages: DataFrame) -> DataFrame:
-    """The two best announcement lists of each branch home page.
+def branch_lists(pages: DataFrame, per_branch: int | None = None) -> DataFrame:
+    """Announcement lists of each branch home page, best first; all unless ``per_branch`` asks for the first ones.
 
     Pages carry ``branch`` and ``host``. Immovable-only labels are out; labels rank by
     the order of the known markers, then by position; equal targets count once.
@@ -250,9 +250,11 @@ def branch_lists(pages: DataFrame) -> DataFrame:
         )
     )
     best = ranked.groupBy("branch", "list_url").agg(F.min(F.struct("priority", "position")).alias("rank"))
-    return top_per_key(
-        best, ["branch"], [F.col("rank").asc(), F.col("list_url").asc()], LISTS_PER_BRANCH, "list_no"
-    ).select("branch", "list_no", "list_url")
+    order = [F.col("rank").asc(), F.col("list_url").asc()]
+    if per_branch is not None:
+        return top_per_key(best, ["branch"], order, per_branch, "list_no").select("branch", "list_no", "list_url")
+    numbered = best.withColumn("list_no", F.row_number().over(Window.partitionBy("branch").orderBy(*order)))
+    return numbered.select("branch", "list_no", "list_url")
 
 
 def recent_notices(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
@@ -309,17 +311,13 @@ def has_next_page() -> Column:
 
 
 # --- attachments ---------------------------------------------------------------------
-# How many attachment links each source keeps.
-ATTACHMENT_LIMITS = {"moj_auction": 25, "moj_enforcement": 25, "moj_enforcement_cms": 10, "shwoo": 12}
-
-
 def _region_links(p: Page, region, *tags: str) -> Column:
     zones = p.select(where=region)
     return F.flatten(F.transform(zones, lambda z: p.inside(z, *tags)))
 
 
-def attachment_urls(source: str, base: Column, page: str = "page") -> Column:
-    """Distinct absolute attachment links of a detail page, in page order, up to the source's limit."""
+def attachment_urls(source: str, base: Column, page: str = "page", limit: int | None = None) -> Column:
+    """Distinct absolute attachment links of a detail page, in page order; all unless ``limit`` asks for the first ones."""
     p = Page(page)
     if source == "moj_enforcement_cms":
         nodes = _region_links(p, lambda n: has_class(n, "file_download"), "a")
@@ -340,7 +338,8 @@ def attachment_urls(source: str, base: Column, page: str = "page") -> Column:
         kept = F.filter(kept, lambda u: urls.scheme(u) == "https")
     if source == "shwoo":
         kept = F.filter(targets, lambda u: u.isNotNull())
-    return F.slice(F.array_distinct(kept), 1, ATTACHMENT_LIMITS[source])
+    links = F.array_distinct(kept)
+    return links if limit is None else F.slice(links, 1, limit)
 
 
 def in_region(p: Page, n: Column, region_class: str, tag: str) -> Column:
@@ -353,7 +352,3 @@ def in_region(p: Page, n: Column, region_class: str, tag: str) -> Column:
 def in_id(p: Page, n: Column, *ids: str) -> Column:
     return F.exists(p.nodes, lambda z: z["attr_id"].isin(*ids) & (z["pos"] < n["pos"]) & (n["pos"] < z["end"]))
 
-
-def first_seen(df: DataFrame, keys: list[str], arrival: Column) -> DataFrame:
-    """First-wins merge of repeated candidates."""
-    return first_per_key(df, keys, arrival)

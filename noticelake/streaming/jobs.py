@@ -1,7 +1,7 @@
 """Streams over landing folders. Each equals its batch operator on the same input.
 
-All run with ``availableNow`` by default, so the batch result is the reference. State is
-bounded by watermarks; rows behind the watermark are kept in a side table.
+All run with ``availableNow``, so the batch result is the reference. What a stream must
+remember is a table beside it, not state behind a watermark: late rows are rows like others.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import content_path
+from ..operators.dedupe import top_per_key
 from ..operators.retention import clear_expired_plates
-from ..operators.upsert import SNAPSHOT_KEY, upsert_table
+from ..operators.upsert import SNAPSHOT_KEY, tie_break, upsert_table
 
 c = F.col
 
@@ -22,31 +23,62 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str
     return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", per_batch).load(path)
 
 
-def landing_stream(artifacts: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each (checksum, path) once within the watermark; content decides identity."""
+def landed(artifacts: DataFrame) -> DataFrame:
+    """Artifacts with the checksum and path that identify their content."""
     body = c("content").cast("binary")
-    named = artifacts.withColumn("checksum_sha256", F.sha2(body, 256)).withColumn(
-        "storage_path", content_path(c("checksum_sha256"), c("mime_type")))
-    return named.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["checksum_sha256", "storage_path"])
+    return artifacts.withColumn("checksum_sha256", F.sha2(body, 256)).withColumn("storage_path", content_path(c("checksum_sha256"), c("mime_type")))
 
 
-def change_stream(snapshots: DataFrame, delay: str = "30 days") -> DataFrame:
-    """First sighting of every (record, checksum, version); later sightings of it are silent."""
-    return snapshots.withWatermark("observed_at", delay).dropDuplicatesWithinWatermark(SNAPSHOT_KEY)
+def _replace_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Write one batch's rows in its own partition; a repeated batch replaces itself."""
+    rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
-def run_windows(outcomes: DataFrame, window: str = "1 day", delay: str = "1 day") -> DataFrame:
+CHANGE_KEY = SNAPSHOT_KEY
+LANDING_KEY = ["checksum_sha256", "storage_path"]
+
+
+def first_seen_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str], time: str) -> StreamingQuery:
+    """Each key once for ever: the earliest row of the first batch that has it, whatever its delay.
+
+    Stored keys are the memory, so nothing is forgotten and no late row is lost. Both sides have one row per key when they meet.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = top_per_key(batch, keys, [c(time).asc(), tie_break(batch)])
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
+        stored = batch.sparkSession.read.schema(schema).parquet(path) if batch_id else batch.withColumn("batch_id", F.lit(0)).limit(0)
+        known = stored.filter(c("batch_id") < batch_id).select(*[c(k).alias(f"_k_{k}") for k in keys])
+        _replace_batch(first.join(known, [c(k).eqNullSafe(c(f"_k_{k}")) for k in keys], "left_anti"), batch_id, path)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_windows(outcomes: DataFrame, window: str = "1 day") -> DataFrame:
     """Run counters per tumbling window of the observation time."""
     failed = c("error").isNotNull()
     return (
-        outcomes.withWatermark("observed_at", delay)
-        .groupBy(F.window("observed_at", window).alias("w"), "source_id")
+        outcomes.groupBy(F.window("observed_at", window).alias("w"), "source_id")
         .agg(F.count(F.lit(1)).alias("discovered_count"), F.count_if(~failed).alias("parsed_count"),
              F.count_if(failed).alias("failed_count"))
         .select(c("w.start").alias("window_start"), "source_id", "discovered_count", "parsed_count", "failed_count")
     )
 
 
+def windows_sink(stream: DataFrame, path: str, checkpoint: str, window: str = "1 day") -> StreamingQuery:
+    """Partial counters of every batch; late rows count and the last window is no exception. Read them with read_windows()."""
+    return (
+        stream.writeStream.foreachBatch(lambda batch, batch_id: _replace_batch(run_windows(batch, window), batch_id, path))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    counters = ["discovered_count", "parsed_count", "failed_count"]
+    return spark.read.parquet(path).groupBy("window_start", "source_id").agg(*[F.sum(n).alias(n) for n in counters])
+
+
 def upsert_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str], rules: dict[str, str], order: str,
                 buckets: int = 64) -> StreamingQuery:
     """Keep the latest row per key in a bucketed table; re-running a batch changes nothing."""
@@ -57,25 +89,14 @@ def upsert_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def plate_sink(stream: DataFrame, path: str, checkpoint: str, as_of) -> StreamingQuery:
-    """Append listings with expired plates already cleared."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        cleared = clear_expired_plates(batch, as_of)
-        cleared.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def append_sink(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def plate_sink(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append listings as they come; plates expire when they are read."""
     return (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(lambda batch, batch_id: _replace_batch(batch, batch_id, path))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def split_late(df: DataFrame, time: str, high_mark) -> tuple[DataFrame, DataFrame]:
-    """Rows at or after a mark, and the late ones for the side table."""
-    late = c(time) < F.lit(high_mark).cast("timestamp")
-    return df.filter(~late), df.filter(late)
+def read_plates(spark: SparkSession, path: str, as_of) -> DataFrame:
+    """The listings with every plate cleared that has expired by ``as_of``, however long ago it was written."""
+    return clear_expired_plates(spark.read.parquet(path).drop("batch_id"), as_of)

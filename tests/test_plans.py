@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import listing
+from noticelake.operators import listing, upsert
 from noticelake.plans import ingest, publish
 from noticelake.plans.notices import normalize
 from noticelake.session import cut_lineage
@@ -105,10 +105,36 @@ def test_landed_files_and_materialized_listing(spark, workdir):
     assert back.count() == 60 and back.filter("vehicle_type = 'CAR'").count() == 40
 
 
-def test_late_rows_go_aside(spark):
-    df = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-03")], "i int, d string").withColumn("t", F.to_timestamp("d"))
-    live, late = jobs.split_late(df, "t", "2026-01-02 00:00:00")
-    assert [r.i for r in live.collect()] == [2] and [r.i for r in late.collect()] == [1]
+def test_a_stream_keeps_late_rows_and_old_keys(spark, workdir):
+    schema = "record_id long, payload_checksum string, parser_version string, observed_at timestamp"
+    days = ["2026-03-01", "2026-01-01", "2026-05-01", "2026-01-02"]
+    for i, day in enumerate(days):
+        rows = [(1, "a", "1", None), (i, "b", "1", None)]
+        spark.createDataFrame(rows, schema).withColumn("observed_at", F.to_timestamp(F.lit(day))).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+        for out, start in (("seen", jobs.first_seen_sink), ("windows", jobs.windows_sink)):
+            stream = jobs.read_stream(spark, f"{workdir}/in", spark.read.parquet(f"{workdir}/in").schema)
+            if out == "windows":
+                stream = stream.select(F.col("record_id").alias("source_id"), "observed_at", F.lit(None).cast("string").alias("error"))
+            more = (jobs.CHANGE_KEY, "observed_at") if out == "seen" else ()
+            start(stream, f"{workdir}/{out}", f"{workdir}/{out}-state", *more).awaitTermination()
+    seen = sorted((r.record_id, r.payload_checksum) for r in spark.read.parquet(f"{workdir}/seen").collect())
+    assert seen == [(0, "b"), (1, "a"), (1, "b"), (2, "b"), (3, "b")]
+    assert jobs.read_windows(spark, f"{workdir}/windows").agg(F.sum("discovered_count")).first()[0] == 8
+
+
+def test_large_files_are_reported(spark, workdir):
+    for name, size in (("a.html", 5), ("b.html", 500)):
+        with open(f"{workdir}/{name}", "wb") as f:
+            f.write(b"x" * size)
+    files = {r.filename: r for r in art.read_files(spark, workdir, max_bytes=100).collect()}
+    assert files["a.html"].error is None and files["b.html"].content is None and "100" in files["b.html"].error
+
+
+def test_ties_have_one_order(spark):
+    rows = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, "c", 4), (2, "x", 1)], "k int, v string, t int")
+    stored = rows.limit(0)
+    for keep in (lambda d: upsert.upsert(stored, d, ["k"], None, c("t")), lambda d: upsert.new_rows(stored, d, ["k"])):
+        assert len({str(sorted(map(tuple, keep(rows.orderBy(order)).collect()))) for order in ("v", "t", F.desc("v"))}) == 1
 
 
 def test_page_is_read_once_whatever_is_filtered(spark, batch):

@@ -16,10 +16,10 @@ query = Registry()
 
 AUDIT = r"""
 rules AS (SELECT doc_id, source, rule FROM (
-  SELECT doc_id, source, 'backend service key' AS rule, regexp_matches(text, '(?i)SUPABASE_SERVICE_ROLE_KEY\s*=|service_role["'']?\s*[:=]\s*["''][A-Za-z0-9._-]{20,}') AS hit FROM documents
-  UNION ALL SELECT doc_id, source, 'token-like secret', regexp_matches(text, 'eyJ[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{10,}') FROM documents
+  SELECT doc_id, source, 'Supabase service key' AS rule, regexp_matches(text, '(?i)SUPABASE_SERVICE_ROLE_KEY\s*=|service_role["'']?\s*[:=]\s*["''][A-Za-z0-9._-]{20,}') AS hit FROM documents
+  UNION ALL SELECT doc_id, source, 'JWT-like secret', regexp_matches(text, 'eyJ[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{10,}') FROM documents
   UNION ALL SELECT doc_id, source, 'private environment owner', regexp_matches(text, '(?i)OWNER_EMAIL\s*=|owner@example\.com') FROM documents
-  UNION ALL SELECT doc_id, source, 'national id', regexp_matches(text, '(?i)\b[A-Z][12]\d{8}\b') FROM documents
+  UNION ALL SELECT doc_id, source, 'Taiwan national ID', regexp_matches(text, '(?i)\b[A-Z][12]\d{8}\b') FROM documents
   UNION ALL SELECT doc_id, source, 'role-labelled person name', regexp_matches(text, '(義務人|債務人|所有人|車主|被告|受刑人|保管人|姓名)\s*[:：]?\s*[一-龥○ＯO·．・]{2,6}') FROM documents
   UNION ALL SELECT doc_id, source, 'phone number', regexp_matches(text, '\b(?:09\d{2}[- ]?\d{3}[- ]?\d{3}|0\d{1,2}[- ]\d{6,8})\b') FROM documents
   UNION ALL SELECT doc_id, source, 'email address', regexp_matches(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b') FROM documents

@@ -190,9 +190,18 @@ def outcomes(spark, sf_dir):
     return spark_sql(spark, sf_dir, RUNS, "SELECT * FROM items")
 
 
-@query("run_accounting", "WITH " + RUNS + "," + COUNTED + " SELECT * FROM finished")
+ALL_RUNS = """
+all_runs AS (SELECT run_id, source_id, CAST(NULL AS VARCHAR(20)) AS run_error FROM items GROUP BY run_id, source_id
+  UNION ALL SELECT CAST(-1 - n_nationkey AS BIGINT), CAST(n_nationkey AS BIGINT), CASE WHEN n_nationkey % 2 = 0 THEN 'no answer' END FROM nation)"""
+
+
+@query("run_accounting", "WITH " + RUNS + "," + COUNTED + "," + ALL_RUNS + """
+SELECT * FROM finished UNION ALL SELECT run_id, source_id, 0, 0, 0, 0, 0, CASE WHEN run_error IS NULL THEN 'PARTIAL' ELSE 'FAILED' END,
+  CASE WHEN run_error IS NULL THEN 1 ELSE 2 END FROM all_runs WHERE run_id < 0""")
 def run_accounting(spark, sf_dir):
-    return runs.finish_runs(outcomes(spark, sf_dir)).drop("run_warnings")
+    """Runs with items, runs that discovered nothing, and runs that failed before the first item."""
+    every = spark_sql(spark, sf_dir, RUNS + "," + ALL_RUNS, "SELECT * FROM all_runs")
+    return runs.finish_runs(outcomes(spark, sf_dir), every).drop("run_warnings")
 
 
 @query("run_warnings", "WITH " + RUNS + """ SELECT run_id, record_id || ': ' || coalesce(error, partial_warning) AS warning FROM items

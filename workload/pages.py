@@ -438,8 +438,8 @@ def office_page_links(spark, sf_dir):
 
 
 @query("branch_lists", with_notices("""
-SELECT CAST(notice_id AS VARCHAR) AS branch, CAST(k AS INTEGER) AS list_no, 'https://www.tpy.moj.gov.tw' || CASE WHEN k = 1 THEN '/1/' || notice_id || '/' ELSE '/2/' END AS list_url
-FROM notices, (VALUES (1), (2)) v(k)"""))
+SELECT CAST(notice_id AS VARCHAR) AS branch, CAST(k AS INTEGER) AS list_no, 'https://www.tpy.moj.gov.tw' || CASE WHEN k = 1 THEN '/1/' || notice_id || '/' ELSE '/' || k || '/' END AS list_url
+FROM notices, (VALUES (1), (2), (3)) v(k)"""))
 def branch_lists(spark, sf_dir):
     pages = notices(spark, sf_dir, """SELECT CAST(notice_id AS STRING) AS branch, 'www.tpy.moj.gov.tw' AS host,
         '<a href="/2/" title="更多 電子公布欄">更多</a><a href="/3/">最新消息</a><a href="/4/">不動產拍賣公告</a><a href="https://other.tw/">動產拍賣公告</a><a href="/1/'
@@ -475,7 +475,7 @@ def recent_rejects(spark, sf_dir):
 
 
 @query("attachment_links", with_notices("""
-SELECT notice_id, 3::BIGINT AS seized, 'https://auction.moj.gov.tw/a' || notice_id || '.pdf' AS first_seized, 2::BIGINT AS enforcement, 1::BIGINT AS branch, 12::BIGINT AS sale FROM notices"""))
+SELECT notice_id, 3::BIGINT AS seized, 'https://auction.moj.gov.tw/a' || notice_id || '.pdf' AS first_seized, 2::BIGINT AS enforcement, 1::BIGINT AS branch, 15::BIGINT AS sale FROM notices"""))
 def attachment_links(spark, sf_dir):
     body = """'<div class="file_download"><a href="/a' || CAST(notice_id AS STRING) || '.pdf">a.pdf</a><a href="/a' || CAST(notice_id AS STRING)
         || '.pdf">again</a><a href="/b.zip">b</a><a href="https://other.tw/c.pdf">c</a></div><section class="cp"><img src="/i.png"></section><div id="slider"><img src="/s.png"></div><a href="/File/Download?x=1">f</a>'"""

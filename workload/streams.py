@@ -28,13 +28,13 @@ def fresh(spark, name: str) -> str:
 
 @query("stream_changes", "WITH " + SIGHTINGS + " SELECT DISTINCT record_id, payload_checksum, parser_version FROM sightings")
 def stream_changes(spark, sf_dir):
-    """New (record, checksum, version) keys only; the watermark exceeds the month of data."""
+    """New (record, checksum, version) keys only, each once for ever."""
     stream = events_stream(spark, sf_dir).select(
         c("user_id").alias("record_id"), c("ts").cast("timestamp").alias("observed_at"),
         F.md5(F.concat("event_type", F.floor(c("value") / 25).cast("bigint").cast("string"))).alias("payload_checksum"),
         F.concat(F.lit("1."), (c("event_id") % 2).cast("string")).alias("parser_version"))
     out = fresh(spark, "changes")
-    jobs.append_sink(jobs.change_stream(stream, "60 days"), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    jobs.first_seen_sink(stream, f"{out}/rows", f"{out}/checkpoint", jobs.CHANGE_KEY, "observed_at").awaitTermination()
     return spark.read.parquet(f"{out}/rows").select("record_id", "payload_checksum", "parser_version")
 
 
@@ -44,7 +44,7 @@ def stream_landing(spark, sf_dir):
         F.concat("event_type", F.floor("value").cast("bigint").cast("string")).alias("content"), F.lit("text/plain").alias("mime_type"),
         c("ts").cast("timestamp").alias("fetched_at"))
     out = fresh(spark, "landing")
-    jobs.append_sink(jobs.landing_stream(stream, "60 days"), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    jobs.first_seen_sink(jobs.landed(stream), f"{out}/rows", f"{out}/checkpoint", jobs.LANDING_KEY, "fetched_at").awaitTermination()
     return spark.read.parquet(f"{out}/rows").agg(F.count(F.lit(1)).alias("artifacts"))
 
 
@@ -61,14 +61,14 @@ def stream_latest(spark, sf_dir):
 
 @query("stream_run_windows", """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, user_id % 25 AS source_id, count(*) AS discovered_count, count(*) FILTER (WHERE event_type <> 'error') AS parsed_count,
-  count(*) FILTER (WHERE event_type = 'error') AS failed_count FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""")
+  count(*) FILTER (WHERE event_type = 'error') AS failed_count FROM events GROUP BY 1, 2""")
 def stream_windows(spark, sf_dir):
-    """Closed daily windows only: append mode emits a window once the watermark passed it."""
+    """Daily windows; the counters sum to the events."""
     stream = events_stream(spark, sf_dir).select(
         (c("user_id") % 25).alias("source_id"), c("ts").cast("timestamp").alias("observed_at"), F.when(c("event_type") == "error", "failed").alias("error"))
     out = fresh(spark, "windows")
-    jobs.append_sink(jobs.run_windows(stream), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    rows = spark.read.parquet(f"{out}/rows")
+    jobs.windows_sink(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    rows = jobs.read_windows(spark, f"{out}/rows")
     return rows.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "source_id", "discovered_count", "parsed_count", "failed_count")
 
 
@@ -77,5 +77,5 @@ SELECT event_id, CASE WHEN ts >= {MONTH} - INTERVAL 30 DAY + INTERVAL 20 DAY THE
 def stream_plates(spark, sf_dir):
     stream = events_stream(spark, sf_dir).select("event_id", c("ts").cast("timestamp").alias("ends_at"), F.concat(F.lit("AB-"), c("user_id").cast("string")).alias("plate_number"))
     out = fresh(spark, "plates")
-    jobs.plate_sink(stream, f"{out}/rows", f"{out}/checkpoint", "2024-02-04 00:00:00").awaitTermination()
-    return spark.read.parquet(f"{out}/rows").select("event_id", "plate_number")
+    jobs.plate_sink(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return jobs.read_plates(spark, f"{out}/rows", "2024-02-04 00:00:00").select("event_id", "plate_number")
