@@ -7,7 +7,7 @@ counts, a node's weighted probability is
     Pw(s) = KT(s) / 2 + product of Pw(children) / 2   (KT(s) at full depth),
 
 and a decision's probability mixes the KT estimates along its context by the posterior weights KT / 2 Pw. Counts,
-weights and mixtures are DataFrame aggregates and joins per depth, over distinct contexts. Unseen contexts count nothing,
+weights and mixtures are made once per distinct context, from full depth up and down again. Unseen contexts count nothing,
 so they predict evenly, as the tree says.
 
 Texts are dealt by hash into blocks of about BLOCK bytes. A block's distinct words and byte grams (keys) are counted, summed
@@ -23,10 +23,10 @@ no part.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ from .tables import Scratch, stored
 from .text import Words, pieces, sums
 
 DEPTH = 5
-BLOCK = 24 << 20
+BLOCK = 48 << 20
 PART = 4 << 20
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
@@ -108,46 +108,144 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - shift
 
 
-def _estimate(zeros: pd.Series, ones: pd.Series) -> pd.Series:
-    a, b = zeros.to_numpy(float), ones.to_numpy(float)
-    return pd.Series(log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - math.log(math.pi))
+def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """ln of the Krichevsky-Trofimov probability of a node's decisions."""
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def _bits(grams: DataFrame) -> DataFrame:
-    """grams (gram, ...) with a row per binary decision: context, node (1 and the bits so far), bit."""
-    symbol = F.col("gram").bitwiseAND(F.lit(255))
-    each = F.explode(F.array(*[
-        F.struct(F.shiftright(symbol.bitwiseOR(F.lit(256)), 8 - k).alias("node"), F.shiftright(symbol, 7 - k).bitwiseAND(F.lit(1)).alias("bit"))
-        for k in range(8)
-    ]))
-    return grams.withColumn("context", F.shiftright("gram", 8)).withColumn("_step", each).select("*", "_step.node", "_step.bit").drop("_step")
+def _suffix(nodes: np.ndarray, depth: int) -> np.ndarray:
+    """Node numbers (context bytes, then 1 and the bits so far in a byte) with the context's last depth bytes alone."""
+    return nodes & np.uint64((1 << 8 * (depth + 1)) - 1)
 
 
-def _shorter(depth: int) -> Column:
-    """A context's last depth bytes."""
-    return F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+class Level:
+    """All nodes of one depth in order, with their counts, weighted probability (ln) and the weight at which a path stops there."""
+
+    def __init__(self, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None, weighted: np.ndarray | None = None):
+        """Rows of one node are summed. below: ln of the children's probabilities; none at full depth. weighted: known already."""
+        order = np.argsort(nodes, kind="stable")
+        nodes = nodes[order]
+        new = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
+        add = lambda x: np.add.reduceat(x[order], new) if len(new) else np.zeros(0)
+        self.nodes, self.zeros, self.ones = nodes[new], add(zeros.astype(float)), add(ones.astype(float))
+        own = estimate(self.zeros, self.ones)
+        if below is None:
+            self.weighted, self.stop = own, np.ones(len(own))
+        else:
+            self.weighted = np.logaddexp(own, add(below)) - math.log(2)
+            self.stop = np.exp(own - math.log(2) - self.weighted)
+        if weighted is not None:
+            self.weighted, self.stop = weighted[order][new], np.exp(own - math.log(2) - weighted[order][new])
+
+    def shorter(self, depth: int) -> Level:
+        return Level(_suffix(self.nodes, depth), self.zeros, self.ones, self.weighted)
+
+    def mixed(self, depth: int, above: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nodes, P(1) mixed so far, weight not yet given away), from the same of the depth above."""
+        one = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        if above is None:
+            return self.nodes, self.stop * one, 1 - self.stop
+        at = np.searchsorted(above[0], _suffix(self.nodes, depth - 1))
+        return self.nodes, above[1][at] + above[2][at] * self.stop * one, above[2][at] * (1 - self.stop)
+
+
+def _steps(grams: np.ndarray):
+    """(node, bit) of the eight decisions of every gram's last byte."""
+    symbol = grams & np.uint64(255)
+    for k in range(8):
+        yield (grams & ~np.uint64(255)) | ((symbol | np.uint64(256)) >> np.uint64(8 - k)), (symbol >> np.uint64(7 - k)) & np.uint64(1)
+
+
+def _leaves(grams: np.ndarray, counts: np.ndarray) -> Level:
+    steps = list(_steps(grams))
+    bits = np.concatenate([b for _, b in steps]) == 1
+    n = np.tile(counts, 8)
+    return Level(np.concatenate([x for x, _ in steps]), np.where(bits, 0, n), np.where(bits, n, 0), None)
+
+
+def _columns(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray]:
+    got = [[b.column(c).to_numpy(zero_copy_only=False) for c in names] for b in batches]
+    return [np.concatenate(x) for x in zip(*got, strict=True)] if got else [np.zeros(0, np.int64) for _ in names]
+
+
+LEVEL = "node long, zeros double, ones double, weighted double"
+MIXED = "node long, p double, rest double"
+
+
+def _level_batch(x: Level) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.nodes.view(np.int64)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.weighted)], ["node", "zeros", "ones", "weighted"])
+
+
+def _grams_up(batches: Iterator[pa.RecordBatch], depth: int, to: int) -> Iterator[pa.RecordBatch]:
+    """Grams that share their contexts' last bytes, to the level of depth to."""
+    grams, counts = _columns(batches, "gram", "n")
+    level = _leaves(grams.view(np.uint64), counts)
+    for d in range(depth - 1, to - 1, -1):
+        level = level.shorter(d)
+    yield _level_batch(level)
+
+
+def _levels_up(batches: Iterator[pa.RecordBatch], depth: int, to: int) -> Iterator[pa.RecordBatch]:
+    level = _known_level(batches)
+    for d in range(depth - 1, to - 1, -1):
+        level = level.shorter(d)
+    yield _level_batch(level)
+
+
+def _known_level(batches: Iterator[pa.RecordBatch]) -> Level:
+    nodes, zeros, ones, weighted = _columns(batches, "node", "zeros", "ones", "weighted")
+    return Level(nodes.view(np.uint64), zeros, ones, weighted * 0, weighted)
+
+
+def _levels_down(batches: Iterator[pa.RecordBatch], depth: int, above: tuple, at: int) -> Iterator[pa.RecordBatch]:
+    """A level's mixtures from those of the depth at."""
+    levels = [_known_level(batches)]
+    for d in range(depth - 1, at, -1):
+        levels.append(levels[-1].shorter(d))
+    for d, level in zip(range(at + 1, depth + 1), reversed(levels), strict=True):
+        above = level.mixed(d, above)
+    yield pa.RecordBatch.from_arrays([pa.array(above[0].view(np.int64)), pa.array(above[1]), pa.array(above[2])], ["node", "p", "rest"])
+
+
+def _grams_down(batches: Iterator[pa.RecordBatch], depth: int, at: int) -> Iterator[pa.RecordBatch]:
+    """Grams (node null) with the mixtures of depth at that they need, to log10 of each gram's probability."""
+    gram, n, node, p, rest = _columns(batches, "gram", "n", "node", "p", "rest")
+    is_gram = ~np.isnan(n.astype(float))
+    grams, counts = gram[is_gram].astype(np.int64).view(np.uint64), n[is_gram].astype(np.int64)
+    order = np.argsort(node[~is_gram].astype(np.int64).view(np.uint64))
+    above = node[~is_gram].astype(np.int64).view(np.uint64)[order], p[~is_gram][order], rest[~is_gram][order]
+    levels = [_leaves(grams, counts)]
+    for d in range(depth - 1, at, -1):
+        levels.append(levels[-1].shorter(d))
+    for d, level in zip(range(at + 1, depth + 1), reversed(levels), strict=True):
+        above = level.mixed(d, above)
+    value = np.zeros(len(grams))
+    for nodes, bits in _steps(grams):
+        one = above[1][np.searchsorted(above[0], nodes)] if len(grams) else np.zeros(0)
+        value += np.log10(np.where(bits == 1, one, 1 - one))
+    yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(value)], ["gram", "value"])
 
 
 def gram_values(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """grams (gram, n: learned occurrences) to (gram, value: log10 of the mixed probability of its last byte in its context)."""
-    scratch = Scratch()
-    estimate = F.pandas_udf(_estimate, "double")
-    # numbers as sum over values of the bit: all nodes of full depth, then shorter contexts
-    leaf = _bits(grams).groupBy("context", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-    levels = {depth: scratch.stored(leaf.withColumn("kt", estimate("n0", "n1")).withColumn("pw", F.col("kt")).withColumn("stop", F.lit(1.0)))}
-    for d in range(depth - 1, -1, -1):
-        up = levels[d + 1].groupBy(_shorter(d).alias("context"), "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("below"))
-        up = up.withColumn("kt", estimate("n0", "n1")).withColumn("most", F.greatest("kt", "below"))
-        pw = F.col("most") + F.log(F.exp(F.col("kt") - F.col("most")) + F.exp(F.col("below") - F.col("most"))) - math.log(2)
-        levels[d] = scratch.stored(up.withColumn("pw", pw).withColumn("stop", F.exp(F.col("kt") - math.log(2) - F.col("pw"))).drop("below", "most"))
-    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
-    mixed = levels[0].select("context", "node", (F.col("stop") * one).alias("p"), (1 - F.col("stop")).alias("rest"))
-    for d in range(1, depth + 1):
-        above = mixed.select(F.col("context").alias("_context"), F.col("node").alias("_node"), F.col("p").alias("_p"), F.col("rest").alias("_rest"))
-        joined = levels[d].join(above, (_shorter(d - 1) == F.col("_context")) & (F.col("node") == F.col("_node")))
-        mixed = joined.select("context", "node", (F.col("_p") + F.col("_rest") * F.col("stop") * one).alias("p"), (F.col("_rest") * (1 - F.col("stop"))).alias("rest"))
-    decided = _bits(grams.select("gram")).join(mixed.select("context", "node", "p"), ["context", "node"])
-    values = stored(decided.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("value")))
+    """grams (gram, n: learned occurrences) to (gram, value: log10 of the mixed probability of its last byte in its context).
+
+    The trees are cut at depths 3 and 1. What shares the last 3 bytes of its context is worked through in one task, from full
+    depth up; then what shares the last byte; the 255 nodes of each last byte (65,280 at most) meet on the driver. The
+    mixtures come down the same way.
+    """
+    scratch, low, high = Scratch(), min(3, depth - 1), 1
+    by = lambda df, d, name: df.repartition(F.expr(f"{name} & {((1 << 8 * d) - 1) << 8}L"))
+    middle = scratch.stored(by(grams, low, "gram").mapInArrow(partial(_grams_up, depth=depth, to=low), LEVEL))
+    top = by(middle, high, "node").mapInArrow(partial(_levels_up, depth=low, to=high), LEVEL).collect()  # at most 65,280 rows
+    nodes, zeros, ones, weighted = (np.array([r[k] for r in top], kind) for k, kind in enumerate((np.int64, float, float, float)))
+    first = Level(nodes.view(np.uint64), zeros, ones, weighted * 0, weighted)
+    above = first.mixed(1, first.shorter(0).mixed(0, None))
+    mixed = scratch.stored(by(middle, high, "node").mapInArrow(partial(_levels_down, depth=low, above=above, at=high), MIXED))
+    none = F.lit(None)
+    rows = grams.select("gram", F.col("n").cast("double").alias("n"), none.cast("long").alias("node"), none.cast("double").alias("p"), none.cast("double").alias("rest"))
+    # a node's context stands where a gram's does
+    rows = rows.union(mixed.select(F.col("node"), none.cast("double"), "node", "p", "rest"))
+    values = stored(by(rows, low, "gram").mapInArrow(partial(_grams_down, depth=depth, at=low), "gram long, value double"))
     scratch.drop()
     return values
 
