@@ -12,7 +12,7 @@ from noticelake.streaming import jobs
 
 c = F.col
 AS_OF = "2026-08-10 00:00:00"
-PAGE = """<meta name="DC.Creator" content="臺灣嘉義地方檢察署"><h2 class="title">115年度變價字第{n}號{noun}拍賣公告</h2>
+PAGE = """<meta name="DC.Creator" content="臺灣屏東地方檢察署"><h2 class="title">115年度變價字第{n}號{noun}拍賣公告</h2>
 <section class="cp">拍賣時間：115年8月20日上午10時。{noun}{k}輛，{plates}，廠牌：光陽，型號：SJ25。車主：王小明，電話0912345678。</section>"""
 
 
