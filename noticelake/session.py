@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # long texts: a batch between Spark and Python stays at some megabytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
