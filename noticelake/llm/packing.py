@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 LENGTH = 1024
 SENTENCE, HARD, GRID = 0.5, 2.0, 8
 STRETCH = 1 << 18
-CACHE = 250_000
+CACHE = 100_000
 SENTENCE_ENDS = (b".", b"!", b"?", b"\n", "。".encode(), "！".encode(), "？".encode())
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 

@@ -26,7 +26,7 @@ from .tables import fresh
 from .text import Words, mix, pieces, sums
 
 SAMPLE = 3000
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def _kinds(chars: bytes) -> np.ndarray:

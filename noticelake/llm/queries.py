@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticelake.session import configure
+
 from . import ctw, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
@@ -18,7 +20,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query

@@ -18,7 +18,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that begin a code point.
 FIRST = (np.arange(256) & 0xC0) != 0x80
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _STEP = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(20240817).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
