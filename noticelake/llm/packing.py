@@ -17,7 +17,6 @@ gives no rows; a null doc_id stays null; further columns take no part.
 from __future__ import annotations
 
 import base64
-import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -30,20 +29,14 @@ from pyspark.sql import functions as F
 LENGTH = 1024
 SENTENCE, HARD, GRID = 0.5, 2.0, 8
 STRETCH = 1 << 18
-CACHE = 100_000
 SENTENCE_ENDS = (b".", b"!", b"?", b"\n", "。".encode(), "！".encode(), "？".encode())
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-#: White space that the pre-tokenizer knows, besides the blank and the line feed.
-_OTHER_SPACE = re.compile(r"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_DOUBLE = ("  ", "\n\n", "\n ", " \n")
-
 
 class Ids:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    path: ranks of a byte-level BPE. The ids are those of the same vocabulary's `tokenizers` file (a test compares them). Each
-    distinct run of a text is tokenized once while it stays in the cache: runs used lately, in two generations.
+    path: ranks of a byte-level BPE. The ids are those of the same vocabulary's `tokenizers` file (a test compares them).
     """
 
     def __init__(self, path: str, pattern: str):
@@ -55,45 +48,9 @@ class Ids:
         self.marks = np.zeros(max(ranks.values()) + 1, bool)
         for word, rank in ranks.items():
             self.marks[rank] = word.endswith(SENTENCE_ENDS)
-        self.line_feed = ranks[b"\n"]
-        self.feed = np.array([self.line_feed], "<u4").tobytes()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
     def of(self, text: str) -> bytes:
-        """Where single blanks and line feeds part the words, a word's ids depend only on itself and on what stands before it."""
-        led = "\n" + text
-        if any(x in led for x in _DOUBLE):
-            return self.encode(text)
-        words, new = led.replace("\n", " \n").split(" ")[1:], self.new
-        if missing := set(words).difference(new):
-            self.learn(missing)
-        out = b"".join(map(new.__getitem__, words))
-        if len(new) > CACHE:
-            self.new, self.old = {}, new
-        return out[4:]
-
-    def learn(self, missing: set[str]) -> None:
-        """A word stands for blank and word; one that begins with a line feed, for itself."""
-        old = self.old
-        if again := {x: old[x] for x in missing if x in old}:
-            self.new.update(again)
-            missing.difference_update(again)
-        led = [x for x in missing if x[:1] == "\n"]
-        plain = list(missing.difference(led))
-        for words, joined, feed in ((plain, " " + "\n ".join(plain), b""), (led, "".join(led)[1:], self.feed)):
-            if not words:
-                continue
-            ids = self.coder.encode_to_numpy(joined, disallowed_special=()).astype("<u4")
-            ends = np.append(np.flatnonzero(ids == self.line_feed), len(ids)) * 4
-            if len(ends) == len(words) and not _OTHER_SPACE.search(joined) and "" not in missing and "\n" not in missing:
-                begins, raw = [0, *(ends[:-1] + 4).tolist()], ids.tobytes()
-                self.new.update(zip(words, [feed + raw[a:b] for a, b in zip(begins, ends.tolist(), strict=True)], strict=True))
-            else:
-                self.new.update({x: self.encode(x if feed else f" {x}") for x in words})
+        return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 def cuts(ends: np.ndarray, sentence: np.ndarray, length: int, sentence_cost: float = SENTENCE, hard_cost: float = HARD, grid: int = GRID) -> list[int]:
