@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import dedupe, evidence, identity, listing, quality, retention, runs, upsert
+from noticelake.operators import dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert
 from noticelake.operators.completeness import completeness, has_text, is_known, never
 from noticelake.schemas import AUCTION_STATUSES, DISPOSAL_ORIGINS
 from noticelake.sources import seeds
@@ -459,3 +459,45 @@ def surrogate_keys(spark, sf_dir):
     keys = notices(spark, sf_dir, "SELECT notice_id, plate, CASE WHEN n > 1 THEN n END AS n FROM notices").select(
         stable_id(c("notice_id"), c("plate"), c("n")).alias("k"))
     return keys.groupBy("k").count().agg(F.sum("count").alias("keys"), F.count(F.lit(1)).alias("distinct_keys"))
+
+
+# --- registry ------------------------------------------------------------------------------------
+ENDPOINTS = """
+stored AS (SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_custkey % 40 AS BIGINT) AS source_id, 'https://h.gov.tw/' || c_custkey AS endpoint_url, 'LIST' AS kind FROM customer),
+incoming AS (SELECT CAST(o_orderkey + 1000000000 AS BIGINT) AS id, CAST(o_custkey % 40 AS BIGINT) AS source_id, 'https://h.gov.tw/' || o_custkey AS endpoint_url, 'DETAIL' AS kind
+  FROM orders WHERE o_orderkey % 10 = 0)"""
+POLICIES = """
+stored AS (SELECT CAST(c_custkey AS BIGINT) AS source_id, 'ALLOW' AS decision, CAST('1994-06-01' AS TIMESTAMP) AS reviewed_at FROM customer),
+incoming AS (SELECT CAST(o_custkey AS BIGINT) AS source_id, 'P' || o_orderkey AS decision, CAST(o_orderdate AS TIMESTAMP) + o_orderkey * INTERVAL 1 SECOND AS reviewed_at FROM orders)"""
+
+
+@query("registry_endpoints", "WITH " + ENDPOINTS + """
+SELECT coalesce(s.id, i.id) AS id, coalesce(s.source_id, i.source_id) AS source_id, coalesce(s.endpoint_url, i.endpoint_url) AS endpoint_url, coalesce(i.kind, s.kind) AS kind
+FROM stored s FULL JOIN (SELECT min(id) AS id, source_id, endpoint_url, kind FROM incoming GROUP BY source_id, endpoint_url, kind) i USING (source_id, endpoint_url)""")
+def registry_endpoints(spark, sf_dir):
+    stored, incoming = (spark_sql(spark, sf_dir, ENDPOINTS, f"SELECT * FROM {t}") for t in ("stored", "incoming"))
+    once = incoming.groupBy("source_id", "endpoint_url", "kind").agg(F.min("id").alias("id"))
+    return registry.upsert_endpoints(stored, once.select(*stored.columns))
+
+
+@query("registry_policies", "WITH " + POLICIES + """
+SELECT source_id, arg_max(decision, reviewed_at) AS decision, strftime(max(reviewed_at), '%Y-%m-%d %H:%M:%S') AS reviewed_at FROM (SELECT * FROM stored UNION ALL SELECT * FROM incoming) x
+GROUP BY source_id""")
+def registry_policies(spark, sf_dir):
+    stored, incoming = (spark_sql(spark, sf_dir, POLICIES, f"SELECT * FROM {t}") for t in ("stored", "incoming"))
+    return registry.upsert_policies(stored, incoming).withColumn("reviewed_at", F.date_format("reviewed_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("registry_resolved", """SELECT s_suppkey AS id, n_nationkey::BIGINT AS source_id, NULL AS error FROM supplier JOIN nation ON 'NATION_' || (s_suppkey % 30) = n_name
+UNION ALL SELECT s_suppkey, NULL, 'no source with this adapter' FROM supplier WHERE 'NATION_' || (s_suppkey % 30) NOT IN (SELECT n_name FROM nation)""")
+def registry_resolved(spark, sf_dir):
+    values = base(spark, sf_dir, "supplier").select(c("s_suppkey").alias("id"), F.concat(F.lit("NATION_"), (c("s_suppkey") % 30).cast("string")).alias("adapter_name"))
+    sources = base(spark, sf_dir, "nation").select(c("n_name").alias("adapter_name"), c("n_nationkey").cast("bigint").alias("id"))
+    found, lost = registry.resolve_endpoints(values, sources)
+    return found.select("id", "source_id", F.lit(None).cast("string").alias("error")).union(lost.select("id", F.lit(None).cast("bigint"), "error"))
+
+
+@query("pair_checks", """SELECT 'link_self' AS check_name, count(*) FILTER (WHERE l_partkey = l_suppkey) AS violations FROM lineitem
+UNION ALL SELECT 'link_unique', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1) x""")
+def pair_checks(spark, sf_dir):
+    return quality.pair_checks(base(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey", "link")
