@@ -254,8 +254,11 @@ def train(pages: list[list[Block]], made: int = 700, epochs: int = 14, batch: in
 
 
 def fit_labeller(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    rows = pages.filter("page_id is not null and html is not null").orderBy(F.xxhash64("page_id"), "page_id", "html").select("html").limit(sample).collect()  # at most sample pages
-    return train([blocks(r["html"]) for r in rows])
+    some = pages.filter("page_id is not null and html is not null")
+    # at most sample ids, then at most one page of each
+    ids = [r[0] for r in some.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
+    rows = some.filter(F.col("page_id").isin(ids)).groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    return train([blocks(r["html"]) for r in sorted(rows, key=lambda r: ids.index(r["page_id"]))])
 
 
 def _extract(batches: Iterator[pa.RecordBatch], net: Labeller) -> Iterator[pa.RecordBatch]:
