@@ -35,8 +35,8 @@ from .tables import Scratch, stored
 from .text import Words, pieces, sums
 
 DEPTH = 5
-BLOCK = 48 << 20
-PART = 4 << 20
+BLOCK = 20 << 20
+PART = 2 << 20
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
 WORD, GRAM = 0, 1
@@ -80,9 +80,12 @@ def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _parts(block: pa.Table):
     """A block's texts, some at a time: (from row, to row, words, grams, each text's first gram and one end)."""
-    for lo, hi, data, offsets in pieces(block["text"].combine_chunks(), PART):
-        words = Words(data, offsets, lower=True)
-        yield lo, hi, words, *byte_grams(words)
+    base = 0
+    for chunk in block["text"].chunks:
+        for lo, hi, data, offsets in pieces(chunk, PART):
+            words = Words(data, offsets, lower=True)
+            yield base + lo, base + hi, words, *byte_grams(words)
+        base += len(chunk)
 
 
 def _block_keys(key: tuple, block: pa.Table) -> pa.Table:
