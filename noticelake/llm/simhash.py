@@ -8,8 +8,8 @@ follows only edges within the radius. Trees stay in the task that owns the shard
 the data.
 
 ``near_duplicates`` is for larger differences (five-word shingles, Jaccard similarity 0.8 or more, that is up to 16 bits):
-shards are pairs of min-hashes, a text is linked to the nearest leader in the shard's BK-tree or becomes a leader, and every
-link is verified on the texts' shingle sets.
+shards are pairs of min-hashes, a text is compared with its nearest ones in the shard's BK-tree, and every link is verified on the
+texts' shingle sets.
 
 Defined cases: a text with fewer words than a shingle is one shingle; a null or empty text has fingerprint zero, which is
 linked like any other; repeated rows and ids fall into one group; a null doc_id has no component of its own; an empty table
@@ -38,6 +38,7 @@ SHARD = 1500
 SEED = 42
 SALTS = 32
 BANDS = 8
+NEAREST = 4
 
 
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,21 +212,21 @@ def hex_fingerprint(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _leaders(batches: Iterator[pa.RecordBatch], keys: list[str], radius: int) -> Iterator[pa.RecordBatch]:
-    """Shards sorted by keys and rank: (band, key, salt, rank, id, fp, leader); leader is the own id of who becomes one."""
+def _neighbours(batches: Iterator[pa.RecordBatch], keys: list[str], radius: int) -> Iterator[pa.RecordBatch]:
+    """Shards sorted by keys and rank to (band, key, salt, rank, id, fp, other): each text with the NEAREST earlier ones of its
+    shard within the radius; with itself where there is none, which makes it a leader."""
     tree, ids = BKTree(), []
     for new, (band, key, salt, rank, own, fps) in _runs(batches, keys):
         if new:
             tree, ids = BKTree(), []
-        leaders = []
-        for fp, me in zip(fps.view(np.uint64).tolist(), own.tolist(), strict=True):
-            if hits := tree.near(fp, radius):
-                leaders.append(ids[min(hits)[1]])
-            else:
-                tree.add(fp)
-                ids.append(me)
-                leaders.append(me)
-        yield pa.RecordBatch.from_arrays([*map(pa.array, (band, key, salt, rank, own, fps, leaders))], ["band", "key", "salt", "rank", "id", "fp", "leader"])
+        at, others = [], []
+        for i, (fp, me) in enumerate(zip(fps.view(np.uint64).tolist(), own.tolist(), strict=True)):
+            near = [ids[k] for _, k in sorted(tree.near(fp, radius))[:NEAREST]] or [me]
+            at += [i] * len(near)
+            others += near
+            tree.add(fp)
+            ids.append(me)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in (band, key, salt, rank, own, fps)), pa.array(others, pa.int64())], ["band", "key", "salt", "rank", "id", "fp", "other"])
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -248,21 +249,22 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     """Verified links (a, b) between documents whose shingle sets have at least this Jaccard similarity.
 
     docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
-    min-hashes with probability 0.9997. A shard's texts are taken in an order of their own per band, so different texts lead
-    in different bands and groups stay connected. A shard with very many texts is first thinned to leaders in salted parts.
+    min-hashes with probability 0.9997. Within a shard each text is compared with its nearest ones, in an order and in salted
+    parts of their own per band; what has no near text in its part meets the other parts' leaders. So small groups are compared
+    in full, and a very large one stays connected without all its pairs.
     """
     scratch = Scratch()
     made = fingerprints(docs, size, bands, keyed=True).join(firsts, ["doc_id", "text_key"], "left_semi")
     rows = made.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id"), "fp").distinct()
-    rows = scratch.stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")))
+    rows = scratch.stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("band", "id"), F.lit(SALTS)).cast("int")))
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     rows = rows.join(shared, ["band", "key"]).select("band", "key", "salt", "rank", "id", "fp")
-    schema = "band int, key long, salt int, rank long, id long, fp long, leader long"
+    schema = "band int, key long, salt int, rank long, id long, fp long, other long"
     led = rows.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "rank", "id")
-    led = scratch.stored(led.mapInArrow(partial(_leaders, keys=["band", "key", "salt"], radius=radius), schema))
-    tops = led.filter("id = leader").drop("leader").repartition("band", "key").sortWithinPartitions("band", "key", "rank", "id")
-    tops = tops.mapInArrow(partial(_leaders, keys=["band", "key"], radius=radius), schema)
-    pairs = led.union(tops).filter("id <> leader").select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")).distinct()
+    led = scratch.stored(led.mapInArrow(partial(_neighbours, keys=["band", "key", "salt"], radius=radius), schema))
+    tops = led.filter("id = other").drop("other").repartition("band", "key").sortWithinPartitions("band", "key", "rank", "id")
+    tops = tops.mapInArrow(partial(_neighbours, keys=["band", "key"], radius=radius), schema)
+    pairs = led.union(tops).filter("id <> other").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
     pairs = scratch.stored(pairs)
     wanted = scratch.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(firsts, "doc_id"))
     sets = docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text")
