@@ -259,7 +259,7 @@ def test_quality_of_odd_rows(docs, spark):
 def test_context_tree_weighting(docs, spark):
     some = docs.filter("doc_id < 25 or doc_id > 900000 or doc_id is null").filter("doc_id is null or doc_id <> 900013")
     held = F.coalesce(quality.fold(F.col("doc_id"), 7) == 2, F.lit(False))
-    got = sorted(((r.doc_id or -1), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ctw.scores(some, held).collect())
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ctw.scores(some, held).collect())
     depth, counts, bits = ctw.DEPTH, collections.Counter(), collections.defaultdict(lambda: [0, 0])
 
     def steps(w):
