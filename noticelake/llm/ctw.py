@@ -35,7 +35,7 @@ from .tables import Scratch, stored
 from .text import Words, pieces, sums
 
 DEPTH = 5
-BLOCK = 20 << 20
+BLOCK = 26 << 20
 PART = 2 << 20
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
@@ -288,12 +288,16 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-(size or 0) // BLOCK)))))
     keys = stored(rows.groupBy("block").applyInArrow(_block_keys, "block long, kind int, key long, n long"))
     words = keys.filter(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n"))
-    words = stored(words)
+    scratch = Scratch()
+    words = scratch.stored(words)
     known = words.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
     ends = ends or 0
     tokens, kinds = (known[0] or 0) + ends, (known[1] or 0) + (ends > 0)
-    grams = stored(keys.filter(F.col("kind") == GRAM).groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")))
-    model = stored(words.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value")).union(gram_values(grams).select(F.lit(GRAM), "gram", "value")))
+    grams = scratch.stored(keys.filter(F.col("kind") == GRAM).groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")))
+    valued = gram_values(grams)
+    scratch.tables.append(valued)
+    model = stored(words.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value")).union(valued.select(F.lit(GRAM), "gram", "value")))
+    scratch.drop()
     values = keys.select("block", "kind", "key").join(model, ["kind", "key"])
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
     return rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(partial(_score, tokens=tokens, kinds=kinds, ends=ends), schema)
