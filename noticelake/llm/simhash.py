@@ -7,9 +7,10 @@ shard by construction. A shard becomes a BK-tree (children keyed by their Hammin
 follows only edges within the radius. Trees stay in the task that owns the shard: sent to all tasks, they would grow with
 the data.
 
-``near_duplicates`` is for larger differences (five-word shingles, Jaccard similarity 0.8 or more, that is up to 16 bits):
-shards are pairs of min-hashes, a text is compared with its nearest ones in the shard's BK-tree, and every link is verified on the
-texts' shingle sets.
+``near_duplicates`` is for larger differences (five-word shingles, Jaccard similarity 0.8 or more): shards are pairs of
+min-hashes. First each text is tried with its nearest ones in a part of the shard, which joins groups of copies cheaply; then
+all pairs of a shard whose texts are not in one group yet are tried, in blocks against blocks. Pairs are left out by a bound alone that no
+similar pair exceeds (odd sketches of the distinct shingles), and every link is verified on the texts' shingle sets.
 
 Defined cases: a text with fewer words than a shingle is one shingle; a null or empty text has fingerprint zero, which is
 linked like any other; repeated rows and ids fall into one group; a null doc_id has no component of its own; an empty table
@@ -36,9 +37,14 @@ from .text import Words, mix, pieces
 #: A shard above this many fingerprints is split by further bits.
 SHARD = 1500
 SEED = 42
-SALTS = 32
 BANDS = 8
 NEAREST = 4
+#: About so many texts of a (band, key) shard look for their nearest ones together.
+CELL = 500
+#: About so many texts of a shard in which groups remain apart are compared with as many others in one piece.
+BLOCK = 1000
+#: 64-bit words of a sketch.
+WIDTH = 16
 
 
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,31 +71,17 @@ def simhash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch], size: int, bands: int, keyed: bool) -> Iterator[pa.RecordBatch]:
+def _fingerprint(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in pieces(batch.column("text")):
             hashes, first = shingle_hashes(Words(data, offsets, lower=True), size)
-            columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(simhash(hashes, first).view(np.int64))]
-            names = ["doc_id", "fp"]
-            if bands:
-                keys = np.zeros((len(first) - 1, bands), np.uint64)
-                full = np.flatnonzero(np.diff(first))
-                for k in range(2 * bands):
-                    least = np.minimum.reduceat(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)), first[full]) if len(full) else hashes[:0]
-                    keys[full, k // 2] = mix(keys[full, k // 2] * np.uint64(31) + least)
-                columns.append(pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())))
-                names.append("bands")
-            if keyed:
-                columns.append(batch.column("text_key").slice(lo, hi - lo))
-                names.append("text_key")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def fingerprints(docs: DataFrame, size: int = 3, bands: int = 0, keyed: bool = False) -> DataFrame:
-    """doc_id, fp (and bands: keys of pairs of min-hashes; and text_key, as given). One pass over the texts, no shuffle."""
-    schema = "doc_id long, fp long" + ", bands array<long>" * bool(bands) + ", text_key string" * keyed
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *["text_key"] * keyed)
-    return rows.mapInArrow(partial(_fingerprint, size=size, bands=bands, keyed=keyed), schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(simhash(hashes, first).view(np.int64))], ["doc_id", "fp"])
+
+
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+    """doc_id, fp. One pass over the texts, no shuffle."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(partial(_fingerprint, size=size), "doc_id long, fp long")
 
 
 class BKTree:
@@ -212,31 +204,126 @@ def hex_fingerprint(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], keys: list[str], radius: int) -> Iterator[pa.RecordBatch]:
-    """Shards sorted by keys and rank to (band, key, salt, rank, id, fp, other): each text with the NEAREST earlier ones of its
-    shard within the radius; with itself where there is none, which makes it a leader."""
-    tree, ids = BKTree(), []
-    for new, (band, key, salt, rank, own, fps) in _runs(batches, keys):
-        if new:
-            tree, ids = BKTree(), []
-        at, others = [], []
-        for i, (fp, me) in enumerate(zip(fps.view(np.uint64).tolist(), own.tolist(), strict=True)):
-            near = [ids[k] for _, k in sorted(tree.near(fp, radius))[:NEAREST]] or [me]
-            at += [i] * len(near)
-            others += near
-            tree.add(fp)
-            ids.append(me)
-        yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in (band, key, salt, rank, own, fps)), pa.array(others, pa.int64())], ["band", "key", "salt", "rank", "id", "fp", "other"])
+def _distinct(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes, and each text's first one (and one end)."""
+    sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+    return np.concatenate(sets) if sets else hashes[:0], ends
+
+
+def odd_sketches(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per text 64 * WIDTH bits: whether an odd number of its (distinct) hashes fall on each.
+
+    Hashes that two texts share cancel out, so their sketches differ in no more bits than their sets differ in hashes.
+    """
+    out = np.zeros((len(first) - 1) * WIDTH, np.uint64)
+    place = mix(hashes ^ np.uint64(0xD1B54A32D192ED03))
+    word = np.repeat(np.arange(len(first) - 1), np.diff(first)) * WIDTH + (place >> np.uint64(8)).astype(np.int64) % WIDTH
+    np.bitwise_xor.at(out, word, np.uint64(1) << (place & np.uint64(63)))
+    return out.reshape(-1, WIDTH)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], size: int, bands: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, data, offsets in pieces(batch.column("text")):
+            hashes, first = _distinct(*shingle_hashes(Words(data, offsets, lower=True), size))
+            keys = np.zeros((len(first) - 1, bands), np.uint64)
+            full = np.flatnonzero(np.diff(first))
+            for k in range(2 * bands):
+                least = np.minimum.reduceat(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)), first[full]) if len(full) else hashes[:0]
+                keys[full, k // 2] = mix(keys[full, k // 2] * np.uint64(31) + least)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel()))
+            sketches = pa.array([x.tobytes() for x in odd_sketches(hashes, first)], pa.binary())
+            columns = [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key")), pa.array(np.diff(first)), sketches, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n", "sketch", "bands"])
+
+
+def _shards(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Batches sorted by keys, as columns of all rows of a group; sketches as rows of WIDTH numbers."""
+    names, held = [], []
+
+    def named() -> dict[str, np.ndarray]:
+        out = dict(zip(names, (np.concatenate(c) if len(held) > 1 else c[0] for c in zip(*held, strict=True)), strict=True))
+        return out | {"sketch": np.frombuffer(b"".join(out["sketch"]), np.uint64).reshape(-1, WIDTH)}
+
+    def seen() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names[:] = batch.schema.names
+            yield batch
+
+    for new, columns in _runs(seen(), keys):
+        if new and held:
+            yield named()
+            held = []
+        held.append(columns)
+    if held:
+        yield named()
+
+
+def _possible(x: dict[str, np.ndarray], y: dict[str, np.ndarray], apart: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row of x, bits, possible) of some rows of x after others against all of y. What isn't possible differs in more than
+    this part of both sets' shingles, so that no similar pair is lost."""
+    step = max(1, (1 << 20) // (WIDTH * len(y["n"])))
+    for lo in range(0, len(x["n"]), step):
+        bits = np.bitwise_count(x["sketch"][lo : lo + step, None] ^ y["sketch"][None]).sum(axis=2, dtype=np.int32)
+        yield lo, bits, bits <= apart * (x["n"][lo : lo + step, None] + y["n"][None]) + 1e-6
+
+
+def _packed(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Pairs of ids as batches of a (the larger) and b."""
+    held, rows = [], 0
+    for a, b in found:
+        held.append((np.maximum(a, b), np.minimum(a, b)))
+        rows += len(a)
+        if rows > 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], ["a", "b"])
+            held, rows = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], ["a", "b"])
+
+
+def _nearest(batches: Iterator[pa.RecordBatch], apart: float) -> Iterator[pa.RecordBatch]:
+    """Cells sorted by (band, key, salt) to pairs of each text and the NEAREST possible ones of the smaller ids in its cell."""
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for cell in _shards(batches, ["band", "key", "salt"]):
+            ids = cell["id"]
+            if len(ids) < 2:
+                continue
+            for lo, bits, possible in _possible(cell, cell, apart):
+                bits = np.where(possible & (ids[lo : lo + len(bits), None] > ids[None]), bits, 1 << 30)
+                near = np.argsort(bits, axis=1, kind="stable")[:, :NEAREST]
+                row, k = np.nonzero(np.take_along_axis(bits, near, axis=1) < 1 << 30)
+                yield ids[lo + row], ids[near[row, k]]
+
+    return _packed(found())
+
+
+def _across(batches: Iterator[pa.RecordBatch], apart: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of blocks sorted by (band, key, i, j) to all possible pairs of block i and block j whose groups differ."""
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for shard in _shards(batches, ["band", "key", "i", "j"]):
+            i, j = shard["i"][0], shard["j"][0]
+            x, y = ({c: v[shard["block"] == k] for c, v in shard.items()} for k in (i, j))
+            if not len(x["n"]) or not len(y["n"]) or (min(x["component"].min(), y["component"].min()) == max(x["component"].max(), y["component"].max())):
+                continue
+            for lo, bits, possible in _possible(x, y, apart):
+                possible &= x["component"][lo : lo + len(bits), None] != y["component"][None]
+                if i == j:
+                    possible &= x["id"][lo : lo + len(bits), None] > y["id"][None]
+                row, k = np.nonzero(possible)
+                yield x["id"][lo + row], y["id"][k]
+
+    return _packed(found())
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in pieces(batch.column("text")):
-            hashes, first = shingle_hashes(Words(data, offsets, lower=True), size)
-            sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            values = pa.array(np.concatenate(sets)) if len(sets) else pa.array([], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "shingles"])
+            hashes, first = _distinct(*shingle_hashes(Words(data, offsets, lower=True), size))
+            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), lists], ["doc_id", "shingles"])
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -245,27 +332,9 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("text_key")).filter("doc_id is not null")
 
 
-def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 16, bands: int = BANDS) -> DataFrame:
-    """Verified links (a, b) between documents whose shingle sets have at least this Jaccard similarity.
-
-    docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
-    min-hashes with probability 0.9997. Within a shard each text is compared with its nearest ones, in an order and in salted
-    parts of their own per band; what has no near text in its part meets the other parts' leaders. So small groups are compared
-    in full, and a very large one stays connected without all its pairs.
-    """
+def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have at least this Jaccard similarity."""
     scratch = Scratch()
-    made = fingerprints(docs, size, bands, keyed=True).join(firsts, ["doc_id", "text_key"], "left_semi")
-    rows = made.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id"), "fp").distinct()
-    rows = scratch.stored(rows.withColumn("rank", F.xxhash64("id", "band")).withColumn("salt", F.pmod(F.xxhash64("band", "id"), F.lit(SALTS)).cast("int")))
-    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    rows = rows.join(shared, ["band", "key"]).select("band", "key", "salt", "rank", "id", "fp")
-    schema = "band int, key long, salt int, rank long, id long, fp long, other long"
-    led = rows.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "rank", "id")
-    led = scratch.stored(led.mapInArrow(partial(_neighbours, keys=["band", "key", "salt"], radius=radius), schema))
-    tops = led.filter("id = other").drop("other").repartition("band", "key").sortWithinPartitions("band", "key", "rank", "id")
-    tops = tops.mapInArrow(partial(_neighbours, keys=["band", "key"], radius=radius), schema)
-    pairs = led.union(tops).filter("id <> other").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
-    pairs = scratch.stored(pairs)
     wanted = scratch.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(firsts, "doc_id"))
     sets = docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text")
     sets = scratch.stored(sets.mapInArrow(partial(_shingle_sets, size=size), "doc_id long, shingles array<long>"))
@@ -276,6 +345,44 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     return links
 
 
+def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity: float = 0.8, bands: int = BANDS) -> DataFrame:
+    """Verified links (a, b), enough to join all documents that reach each other over pairs that share a shard and whose shingle
+    sets have at least this Jaccard similarity.
+
+    docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
+    min-hashes with probability 0.9997. The first round tries each text with its nearest ones, in salted parts of the shards.
+    The second one tries all other pairs of a shard that the first round's links have not joined.
+    """
+    scratch = Scratch()
+    apart = (1 - similarity) / (1 + similarity)
+    rows = docs.select("doc_id", "text", "text_key")
+    made = rows.mapInArrow(partial(_sketch, size=size, bands=bands), "doc_id long, text_key string, n long, sketch binary, bands array<long>")
+    made = scratch.stored(made.join(firsts, ["doc_id", "text_key"], "left_semi").drop("text_key").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"))
+    sketches = made.select("id", "n", "sketch")
+    rows = made.select(F.posexplode("bands").alias("band", "key"), "id")
+    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    rows = scratch.stored(rows.join(shared, ["band", "key"]))
+    cells = rows.withColumn("salt", F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("texts") / CELL))).join(sketches, "id").select("band", "key", "salt", "id", "n", "sketch")
+    cells = cells.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt")
+    tried = scratch.stored(cells.mapInArrow(partial(_nearest, apart=apart), "a long, b long").distinct())
+    links = _verified(docs, firsts, tried, size, similarity)
+
+    # in smaller shards the first round has tried all pairs
+    groups = components(links).withColumnRenamed("node", "id")
+    rows = scratch.stored(rows.filter(F.col("texts") > NEAREST + 1).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    open_ = rows.groupBy("band", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("band", "key")
+    blocks = F.ceil(F.col("texts") / BLOCK)
+    rows = rows.join(open_, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("band", "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component")
+    rows = rows.join(sketches, "id").select("band", "key", "i", "j", "block", "id", "component", "n", "sketch")
+    rows = rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
+    rest = scratch.stored(rows.mapInArrow(partial(_across, apart=apart), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = links.union(_verified(docs, firsts, rest, size, similarity))
+    scratch.drop()
+    return links
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without all but the smallest doc_id of each group of equal or similar texts; rows without a doc_id stay.
 
