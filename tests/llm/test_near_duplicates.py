@@ -54,3 +54,23 @@ def test_large_shards_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 50)
     rows = family(np.random.default_rng(2), 200, 40)
     assert found(spark, rows) == kept(rows)
+
+
+def test_repeated_lines_do_not_part_equal_sets(spark):
+    rng, rows = np.random.default_rng(3), []
+    footer = " ".join(f"f{k}" for k in range(14))
+    for i in range(40):
+        text = " ".join(f"t{i}x{rng.integers(10**6)}" for _ in range(500))
+        rows += [(2 * i, f"{text} {' '.join([footer] * 200)}"), (2 * i + 1, f"{text} {' '.join([footer] * 2)}")]
+    want = kept(rows)
+    assert len(want) == 40
+    assert found(spark, rows) == want
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for n in (0, 3, 200, 5000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[n // 4 :], rng.integers(0, 2**63, n // 5 + 1, dtype=np.uint64)]))
+        x, y = simhash.odd_sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
