@@ -1,7 +1,8 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Each source is dealt by hash into about sqrt(n) permuted blocks of its documents. A source's target is a number of whole
-passes over its blocks plus a part of one more pass; of the LAST blocks, where that part ends, single documents are taken.
+passes over its blocks plus a part of one more pass: every block that still fits in turn, then single documents of as many of
+the other blocks as it takes to fill the rest.
 These block quotas are exact. A binary tree splits the vector of quotas among the output shards: at each node the left half
 gets a multivariate hypergeometric draw of its share of all blocks. Every leaf knows its range in each source's permuted
 blocks from the path alone, so leaves are computed independently in tasks, and ranges are disjoint. A shard's documents
@@ -29,7 +30,7 @@ from .tables import stored
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SHARD_WORDS = 5_000_000
-#: Blocks from which single documents complete a source's quota.
+#: Blocks at least, if there are, from which single documents complete a source's quota.
 LAST = 3
 
 
@@ -60,6 +61,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
     return per.select("source", "src", "n_docs", "source_size", F.when(full, F.col("cap")).otherwise(F.col("stands.level") * F.col("weight")).alias("target"))
 
 
+def _whole(rows: pd.DataFrame) -> pd.DataFrame:
+    """A source's blocks, each taken whole if it fits into what those before it left; room is what all of them leave."""
+    rows = rows.sort_values("block")
+    room, taken = float(rows["rest"].iloc[0]), []
+    for words in rows["words"]:
+        taken.append(0 < words <= room)
+        room -= words if taken[-1] else 0
+    return rows.assign(whole=taken, room=room)[["src", "block", "words", "passes", "whole", "room"]]
+
+
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     """The documents of a source's last blocks that fit into its room, larger ones first; then one more if that comes nearer."""
     room, taken = float(rows["room"].iloc[0]), []
@@ -112,12 +123,17 @@ class Mix:
         blocks = stored(placed.groupBy("src", "block").agg(F.sum("size").alias("words")))
         blocks = blocks.join(self.sources, "src").withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)))
         blocks = blocks.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-        ends = F.sum("words").over(Window.partitionBy("src").orderBy("block"))
-        blocks = blocks.withColumn("whole", (F.col("rest") >= ends) & (F.col("words") > 0))
-        of = Window.partitionBy("src")
-        blocks = blocks.withColumn("room", F.col("rest") - F.sum(F.when(F.col("whole"), F.col("words")).otherwise(0)).over(of))
-        after = F.sum(F.when(F.col("whole"), 0).otherwise(1)).over(of.orderBy("block"))
-        blocks = blocks.withColumn("ending", ~F.col("whole") & (F.col("room") > 0) & (after <= LAST))
+        blocks = blocks.select("src", "block", "words", F.col("passes").cast("long").alias("passes"), F.col("rest").cast("double").alias("rest"))
+        blocks = stored(blocks.groupBy("src").applyInPandas(_whole, "src int, block long, words long, passes long, whole boolean, room double"))
+        # of the others, in order: as many as hold the room's words in documents that fit into it
+        left = blocks.filter("not whole and room > 0 and words > 0")
+        fits = placed.select("src", "block", "doc_id", "size").join(left.select("src", "block", "room"), ["src", "block"]).filter("size > 0 and size <= room")
+        fits = fits.groupBy("src", "block", "doc_id", "size").agg(F.sum("size").alias("all"), F.first("room").alias("room")).filter("all <= room")
+        left = left.join(fits.groupBy("src", "block").agg(F.sum("all").alias("fits")), ["src", "block"], "left")
+        order = Window.partitionBy("src").orderBy("block")
+        before = F.coalesce(F.sum("fits").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        left = left.withColumn("ending", (before < F.col("room")) | (F.row_number().over(order) <= LAST)).select("src", "block", "ending")
+        blocks = blocks.join(left, ["src", "block"], "left").withColumn("ending", F.coalesce("ending", F.lit(False)))
         self.blocks = stored(blocks.select("src", "block", "passes", "room", "whole", "ending"))
         ending = placed.join(self.blocks.filter("ending").select("src", "block", "room"), ["src", "block"])
         ending = ending.groupBy("src", "doc_id", "size").agg(F.sum("size").alias("all"), F.first("room").alias("room"))
