@@ -389,7 +389,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     Null and empty texts are equal texts. Of rows that repeat a doc_id the one with the least text key stays, once.
     """
     keyed = _hashed(docs)
-    firsts = keyed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    firsts = keyed.groupBy("doc_id").agg(F.min("text_key").alias("text_key")).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
     firsts = stored(firsts)
     links = similar_links(keyed, firsts, size, similarity)
     groups = components(links)

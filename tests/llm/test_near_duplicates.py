@@ -74,3 +74,11 @@ def test_sketches_never_differ_in_more_than_the_sets():
         b = np.unique(np.concatenate([a[n // 4 :], rng.integers(0, 2**63, n // 5 + 1, dtype=np.uint64)]))
         x, y = simhash.odd_sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_a_repeated_id_takes_no_other_documents_text_along(spark):
+    # of id 1 the text with the least key stays; the other text must stay as document 2
+    for one, two in (("alpha beta", "gamma delta"), ("gamma delta", "alpha beta")):
+        rows = simhash.near_duplicates(spark.createDataFrame([(1, one), (1, two), (2, two), (3, one)], "doc_id long, text string")).collect()
+        assert {r.text for r in rows} == {one, two}
+        assert [r.doc_id for r in rows].count(1) == 1
