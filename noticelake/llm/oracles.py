@@ -65,3 +65,25 @@ WITH v AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
+
+_CONTROL = r"'(<|\[)(\\*)(/?s>|sep>|/?INST\])', '\1\\\2\3', 'g'"
+SQL["op12_chat"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), m AS (
+  SELECT *, row_number() OVER w AS p, coalesce(lag(role) OVER w <> role, true) AS opens, coalesce(lead(role) OVER w <> role, true) AS closes
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), f AS (
+  SELECT *,
+    CASE WHEN opens THEN CASE WHEN role = 'assistant' THEN '<s>' ELSE '<s>[INST] ' END || regexp_replace(role, {_CONTROL}) ELSE '' END
+    || '<sep>' || regexp_replace(text, {_CONTROL})
+    || CASE WHEN closes THEN CASE WHEN role = 'assistant' THEN '' ELSE ' [/INST]' END || '</s>' || chr(10) ELSE '' END AS part
+  FROM m
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length(part))::BIGINT AS formatted_chars, count(*) FILTER (WHERE opens) AS n_messages
+FROM f GROUP BY 1
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from noticelake.session import configure
 
-from . import ctw, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
+from . import chat, ctw, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -93,3 +93,15 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.col("host").alias("source"), F.round("host_rate", 9).alias("host_rate"),
     )
+
+
+#: Fixed by the contract: what both turns of conversation -1 say.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+@query
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    marked = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(MARKED).alias("text"))
+    return chat.digests(chat.formatted(turns.unionByName(marked)))
