@@ -87,3 +87,41 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sum(length(part))::BIGINT AS formatted_chars, count(*) FILTER (WHERE opens) AS n_messages
 FROM f GROUP BY 1
 """
+
+SQL["op13_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT i, lang, source, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT i, lang, source, unnest(w) AS x FROM d)
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT i) >= 3
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3
+), v AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY 1
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), s AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY 1, 2
+), p AS (
+  SELECT s.lang, s.source, kept.term, c.n AS own, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (s.n + v.v)::HUGEINT AS p,
+    1 + 1000000000::HUGEINT * (kept.n + 1) // (v.n + v.v)::HUGEINT AS q
+  FROM s JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)
+), f AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE own > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 200
+"""

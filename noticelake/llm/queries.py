@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from noticelake.session import configure
 
-from . import chat, ctw, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
+from . import chat, ctw, divergence, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -105,3 +105,8 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     marked = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(MARKED).alias("text"))
     return chat.digests(chat.formatted(turns.unionByName(marked)))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
