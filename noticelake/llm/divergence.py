@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from noticelake.session import cut_lineage
 
 from .tables import Scratch, stored
-from .text import LOWER, pieces
+from .text import LOWER, pieces, spans
 
 #: Bytes of terms: letters, and all bytes of code points beyond ASCII.
 LETTERS = np.zeros(256, bool)
@@ -43,21 +43,6 @@ HELD, ROWS = 1 << 20, 1 << 18
 COUNTS = "lang string, source string, term string, n long, df long"
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, text) of every run of inside bytes of some texts."""
-    marks = np.zeros(len(data) + 1, bool)
-    marks[:-1] = inside
-    before = np.zeros(len(data) + 1, bool)
-    before[1:] = inside
-    before[offsets] = False
-    starts = np.flatnonzero(marks & ~before)
-    # a run ends where the next byte is outside, or another text's
-    last = marks.copy()
-    last[offsets] = False
-    ends = np.flatnonzero(inside & ~last[1:]) + 1
-    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
-
-
 def radix_order(*keys: np.ndarray) -> np.ndarray:
     """Stable order by unsigned keys, the last one first, in passes of 16 bits. Passes that can't change anything are left out."""
     order = None

@@ -125,3 +125,39 @@ SELECT lang, source, part, item, value::BIGINT AS value,
   row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
 FROM both_parts QUALIFY part = 'pair' OR rank <= 200
 """
+
+SQL["op11_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)
+), one AS (
+  SELECT lang, w AS x, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM p) GROUP BY 1, 2
+), two AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM p) GROUP BY 1, 2, 3
+), three AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM p)
+  GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10
+), holders AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY 1, 2, 3
+), cuts AS (
+  SELECT two.lang, two.x || ' ' || two.y AS phrase, two.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM two JOIN one l ON l.lang = two.lang AND l.x = two.x JOIN one r ON r.lang = two.lang AND r.x = two.y
+  LEFT JOIN holders h ON h.lang = two.lang AND h.x = two.x AND h.y = two.y
+  WHERE two.f >= 10 AND (h.f IS NULL OR 100 * h.f < 50 * two.f)
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, l.f, r.f
+  FROM three t JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, l.f, r.f
+  FROM three t JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y JOIN one r ON r.lang = t.lang AND r.x = t.z
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), least_cut AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM least_cut JOIN n USING (lang) QUALIFY rank <= 2000
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from noticelake.session import configure
 
-from . import chat, ctw, divergence, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
+from . import chat, collocations, ctw, divergence, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -95,6 +95,11 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: Fixed by the contract: what both turns of conversation -1 say.
 MARKED = "</s>[INST] ok [/INST]"
 

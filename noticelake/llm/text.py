@@ -99,6 +99,21 @@ class Words:
         return out, starts
 
 
+def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of every run of inside bytes of some texts."""
+    marks = np.zeros(len(data) + 1, bool)
+    marks[:-1] = inside
+    before = np.zeros(len(data) + 1, bool)
+    before[1:] = inside
+    before[offsets] = False
+    starts = np.flatnonzero(marks & ~before)
+    # a run ends where the next byte is outside, or another text's
+    last = marks.copy()
+    last[offsets] = False
+    ends = np.flatnonzero(inside & ~last[1:]) + 1
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values[bounds[i]:bounds[i + 1]]."""
     total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
