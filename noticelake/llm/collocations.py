@@ -37,35 +37,68 @@ INSIDE = ~BREAKS
 INSIDE[[9, 32]] = False
 LEAST, PERCENT, RANKS = 10, 50, 2000
 #: Entries of a container before it bursts, of a task's tries before they spill, and words of a task before all goes.
-BURST, ENTRIES, WORDS = 4096, 3 << 18, 1 << 19
+BURST, ENTRIES, WORDS = 1 << 15, 1 << 20, 1 << 19
 #: Phrases (with repetitions) of a prefix partition.
-PART = 1 << 20
+PART = 1 << 21
 HOT = 1024
 #: A phrase is three word ids of 21 bits, 0 where there is no word.
 BITS = 21
 _LOW = np.uint64((1 << BITS) - 1)
 _CHUNK = 1 << 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TABLES = np.random.default_rng(77).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+class Container:
+    """Counts of phrases in an array hash: open addressing, many keys at once. 0 is an empty slot; no phrase is 0."""
+
+    def __init__(self, slots: int = 1 << 10):
+        self.keys, self.counts, self.size = np.zeros(slots, np.uint64), np.zeros(slots, np.int64), 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Count distinct keys."""
+        while 2 * (self.size + len(keys)) > len(self.keys):
+            old = self.items()
+            self.keys, self.counts, self.size = np.zeros(2 * len(self.keys), np.uint64), np.zeros(2 * len(self.keys), np.int64), 0
+            self._put(*old)
+        self._put(keys, counts)
+
+    def _put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        mask = np.uint64(len(self.keys) - 1)
+        at = (keys * _SPREAD) >> np.uint64(65 - len(self.keys).bit_length())
+        while len(keys):
+            free = self.keys[at] == 0
+            # of several keys that want a free slot one gets it
+            self.keys[at[free]] = keys[free]
+            mine = self.keys[at] == keys
+            self.size += int((mine & free).sum())
+            self.counts[at[mine]] += counts[mine]
+            keys, counts, at = keys[~mine], counts[~mine], (at[~mine] + np.uint64(1)) & mask
+
+    def items(self, ordered: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, counts)."""
+        full = np.flatnonzero(self.keys)
+        if ordered:
+            full = full[np.argsort(self.keys[full])]
+        return self.keys[full], self.counts[full]
+
+
 class Trie:
     """Counts of phrases: containers, each for the phrases from its low bound to the next one's."""
 
     def __init__(self, burst: int = BURST):
-        self.lows, self.containers, self.burst = [0], [{}], burst
+        self.lows, self.containers, self.burst = [0], [Container()], burst
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> int:
-        """Count sorted keys; how many were new."""
+        """Count distinct keys in order; how many were new."""
         cuts = [0, *np.searchsorted(keys, np.array(self.lows[1:], np.uint64)).tolist(), len(keys)]
-        keys, counts, full, new = keys.tolist(), counts.tolist(), [], 0
+        full, new = [], 0
         for k, container in enumerate(self.containers):
-            lo, hi = cuts[k], cuts[k + 1]
-            if lo < hi:
-                had, get = len(container), container.get
-                for key, n in zip(keys[lo:hi], counts[lo:hi], strict=True):
-                    container[key] = get(key, 0) + n
-                new += len(container) - had
-                if len(container) > self.burst:
+            if cuts[k] < cuts[k + 1]:
+                had = container.size
+                container.add(keys[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]])
+                new += container.size - had
+                if container.size > self.burst:
                     full.append(k)
         for k in reversed(full):
             self._burst(k)
@@ -73,35 +106,33 @@ class Trie:
 
     def _burst(self, k: int) -> None:
         """Split a container, at the highest level at which it can be split, into such as fit."""
-        done, waiting = [], [(self.lows[k], sorted(self.containers[k].items()))]
+        done, waiting = [], [(self.lows[k], *self.containers[k].items(ordered=True))]
         while waiting:
-            low, items = waiting.pop()
-            at = self._cut(items) if len(items) > self.burst else 0
+            low, keys, counts = waiting.pop()
+            at = self._cut(keys) if len(keys) > self.burst else 0
             if at:
-                waiting += [(items[at][0], items[at:]), (low, items[:at])]
+                waiting += [(int(keys[at]), keys[at:], counts[at:]), (low, keys[:at], counts[:at])]
             else:
-                done.append((low, dict(items)))
+                part = Container()
+                part.add(keys, counts)
+                done.append((low, part))
         self.lows[k : k + 1] = [low for low, _ in done]
         self.containers[k : k + 1] = [container for _, container in done]
 
     @staticmethod
-    def _cut(items: list[tuple[int, int]]) -> int:
+    def _cut(keys: np.ndarray) -> int:
         """The place nearest to the middle where the first word changes; or the second; or the third."""
-        middle = len(items) // 2
-        for bits in (2 * BITS, BITS, 0):
-            if items[0][0] >> bits != items[-1][0] >> bits:
-                of = items[middle][0] >> bits
-                lo, hi = middle, middle
-                while lo > 0 and items[lo - 1][0] >> bits == of:
-                    lo -= 1
-                while hi < len(items) and items[hi][0] >> bits == of:
-                    hi += 1
-                return lo if lo and (hi == len(items) or middle - lo <= hi - middle) else hi
+        middle = len(keys) // 2
+        for bits in (np.uint64(2 * BITS), np.uint64(BITS), np.uint64(0)):
+            heads = keys >> bits
+            if heads[0] != heads[-1]:
+                lo, hi = np.searchsorted(heads, heads[middle], "left"), np.searchsorted(heads, heads[middle], "right")
+                return int(lo if lo and (hi == len(keys) or middle - lo <= hi - middle) else hi)
         return 0
 
     def take(self, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """The largest subtrees, as one sorted run, until at most so many entries are left."""
-        sizes = [len(c) for c in self.containers]
+        """The phrases and counts of the largest subtrees, until at most so many are left."""
+        sizes = [c.size for c in self.containers]
         left, gone = sum(sizes), []
         for k in sorted(range(len(sizes)), key=sizes.__getitem__, reverse=True):
             if left <= most:
@@ -109,14 +140,13 @@ class Trie:
             gone.append(k)
             left -= sizes[k]
         gone.sort()
-        keys = np.fromiter((x for k in gone for x in sorted(self.containers[k])), np.uint64)
-        counts = np.fromiter((self.containers[k][x] for k in gone for x in sorted(self.containers[k])), np.int64)
+        runs = [self.containers[k].items() for k in gone] or [Container().items()]
         for k in reversed(gone):
             if k:
                 del self.lows[k], self.containers[k]
             else:
-                self.containers[0] = {}
-        return keys, counts
+                self.containers[0] = Container()
+        return np.concatenate([x for x, _ in runs]), np.concatenate([x for _, x in runs])
 
 
 class Tally:
@@ -127,34 +157,45 @@ class Tally:
         self.forget()
 
     def forget(self) -> None:
-        self.names, self.known, self.odd = [b""], {}, {}
+        self.names: list[bytes] = [b""]
         self.hashes = np.zeros((2, 1 << 12), np.uint64)
+        # first hashes in order, and their words; words that share one with an earlier word
+        self.known, self.places, self.odd = np.zeros(0, np.uint64), np.zeros(0, np.int64), {}
         self.tries: dict[str, Trie] = {}
         self.entries = 0
 
-    def _named(self, data: np.ndarray, start: int, end: int, pair: tuple[int, int]) -> int:
-        k = len(self.names)
-        if k == self.hashes.shape[1]:
+    def _named(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """New words' ids."""
+        lo = len(self.names)
+        self.names += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        while self.hashes.shape[1] < len(self.names):
             self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)], axis=1)
-        self.names.append(data[start:end].tobytes())
-        self.hashes[:, k] = pair
-        return k
+        self.hashes[:, lo : len(self.names)] = first, second
+        return np.arange(lo, len(self.names))
 
     def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         first, second = (span_hashes(t[data], starts, ends) for t in _TABLES)
-        values, at, back = np.unique(first, return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        new = np.ones(len(order), bool)
+        new[1:] = first[order[1:]] != first[order[:-1]]
+        at = order[new]
+        values = first[at]
+        place = np.searchsorted(self.known, values)
+        here = np.zeros(len(values), bool)
+        inside = place < len(self.known)
+        here[inside] = self.known[place[inside]] == values[inside]
         found = np.zeros(len(values), np.int64)
-        for k, (value, i) in enumerate(zip(values.tolist(), at.tolist(), strict=True)):
-            known = self.known.get(value)
-            if known is None:
-                known = self.known[value] = self._named(data, starts[i], ends[i], (value, second[i]))
-            found[k] = known
-        out = found[back]
-        # two words with one first hash: the later one has an entry of its own
+        found[here] = self.places[place[here]]
+        raw, unseen = data.tobytes(), at[~here]
+        found[~here] = self._named(raw, starts[unseen], ends[unseen], first[unseen], second[unseen])
+        self.known = np.insert(self.known, place[~here], values[~here])
+        self.places = np.insert(self.places, place[~here], found[~here])
+        out = np.empty(len(order), np.int64)
+        out[order] = found[np.cumsum(new) - 1]
         for i in np.flatnonzero(self.hashes[1][out] != second).tolist():
-            word = data[starts[i] : ends[i]].tobytes()
+            word = raw[starts[i] : ends[i]]
             if word not in self.odd:
-                self.odd[word] = self._named(data, starts[i], ends[i], (first[i], second[i]))
+                self.odd[word] = int(self._named(raw, *(x[i : i + 1] for x in (starts, ends, first, second)))[0])
             out[i] = self.odd[word]
         return out.astype(np.uint64)
 
@@ -212,13 +253,13 @@ class Tally:
                 self.entries += self.tries.setdefault(lang, Trie()).add(*np.unique(keys[bounds[k] : bounds[k + 1]], return_counts=True))
 
     def spills(self, all_of_it: bool) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-        """Sorted runs (language, phrases, counts), where the tries are full, or of all."""
+        """Phrases that leave (language, phrases, counts), where the tries are full, or of all."""
         crowded = len(self.names) > self.most_words
         if not (all_of_it or crowded or self.entries > self.limit):
             return
         # every language gives up half of what it has
         for lang, trie in self.tries.items():
-            had = sum(map(len, trie.containers))
+            had = sum(c.size for c in trie.containers)
             keys, counts = trie.take(0 if all_of_it or crowded else had // 2)
             self.entries -= len(keys)
             if len(keys):
@@ -247,18 +288,17 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def encoded(names: list[bytes], words: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
-    """(size, compressed) run with its own words: both in the order of bytes. words: three rows of ids."""
-    used, back = np.unique(words, return_inverse=True)
+def encoded(names: list[bytes], words: np.ndarray, counts: np.ndarray, rank: np.ndarray) -> tuple[int, bytes]:
+    """(size, compressed) run with its own words: both in the order of bytes. words: three rows of ids; rank: room for a number per name."""
+    used = np.unique(words)
     own = [names[k] for k in used.tolist()]
     order = sorted(range(len(own)), key=own.__getitem__)
-    rank = np.empty(len(own), np.uint32)
-    rank[order] = np.arange(len(own), dtype=np.uint32)
-    ranks = rank[back.reshape(words.shape)]
-    sort = np.lexsort(ranks[::-1])
+    rank[used[order]] = np.arange(len(own), dtype=np.uint64)
+    wide = rank[words]
+    sort = np.argsort(wide[0] << np.uint64(2 * BITS) | wide[1] << np.uint64(BITS) | wide[2])
     body = b"\n".join(own[k] for k in order)
     head = np.array([len(body), len(counts)], "<u8").tobytes()
-    raw = head + body + ranks[:, sort].astype("<u4").tobytes() + counts[sort].astype("<i8").tobytes()
+    raw = head + body + wide[:, sort].astype("<u4").tobytes() + counts[sort].astype("<i8").tobytes()
     return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -283,11 +323,11 @@ def phrase_runs(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[str, se
             seen, back = np.unique(words[0], return_inverse=True)
             spread[np.array([tally.names[k] in own for k in seen.tolist()])[back]] = parts
         part = ((base % np.uint64(parts) + mix(whole) % spread) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
+        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
         found, at = np.unique(part[order], return_index=True)
-        rows = []
+        rows, room = [], np.empty(len(tally.names), np.uint64)
         for number, of in zip(found.tolist(), np.split(order, at[1:]), strict=True):
-            rows.append((number, lang, *encoded(tally.names, words[:, of], counts[of])))
+            rows.append((number, lang, *encoded(tally.names, words[:, of], counts[of], room)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.binary()), strict=True)], ["part", "lang", "size", "run"]
         )
