@@ -40,6 +40,7 @@ LEAST_DOCS, RANKS = 3, 200
 CHUNK = 1 << 22
 #: Rows that a task gathers before it merges its runs, and rows of a block of terms.
 HELD, ROWS = 1 << 20, 1 << 18
+SALTS = 64
 COUNTS = "lang string, source string, term string, n long, df long"
 
 
@@ -240,6 +241,12 @@ def group_figures(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return groups.join(per_group.select("lang", "source", "words"), ["lang", "source"], "left").join(per_lang, "lang", "left").fillna(0)
 
 
+def with_figures(kept: DataFrame, figures: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Kept terms with their group's figures. Groups meet in salted parts, so one with most of the terms is spread over many tasks."""
+    salted = figures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return kept.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(salts)).cast("int")).join(salted, ["lang", "source", "salt"]).drop("salt")
+
+
 def share(count: Column, total: Column) -> Column:
     """1 + floor(UNIT * (count + 1) / total)."""
     wide = (count + 1).cast("decimal(20,0)") * F.lit(UNIT).cast("decimal(10,0)")
@@ -250,7 +257,7 @@ def telling_terms(kept: DataFrame, figures: DataFrame, ranks: int = RANKS) -> Da
     """Part `term`: each group's terms that it uses more than its language does, by how much."""
     p = share(F.col("n"), F.col("words") + F.col("terms"))
     q = share(F.col("n_lang"), F.col("words_lang") + F.col("terms"))
-    rows = kept.join(figures, ["lang", "source"]).select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).filter("p > q")
+    rows = with_figures(kept, figures).select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).filter("p > q")
     valued = rows.select("lang", "source", "item", F.expr("(p - q) * (p - q) div q").alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     return valued.withColumn("rank", rank).filter(F.col("rank") <= ranks)
@@ -298,9 +305,8 @@ def pair_sums(counts: pa.Table, sources: pa.Table) -> pa.Table:
 def source_pairs(kept: DataFrame, figures: DataFrame, block_rows: int = ROWS) -> DataFrame:
     """Part `pair`: how far each source is from each other source of its language, over all kept terms."""
     blocks = F.greatest(F.ceil(F.col("rows") / block_rows), F.lit(1)).cast("long")
-    of = figures.select("lang", "source", "words", "terms", blocks.alias("blocks"))
-    dealt = kept.join(of.select("lang", "blocks").distinct(), "lang")
-    counts = dealt.select("lang", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"), "source", "term", "n")
+    of = figures.withColumn("blocks", blocks)
+    counts = with_figures(kept, of).select("lang", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"), "source", "term", "n")
     sources = of.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "source", "words", "terms")
     sums = counts.groupBy("lang", "block").cogroup(sources.groupBy("lang", "block")).applyInArrow(
         pair_sums, "lang string, source string, item string, value long"
