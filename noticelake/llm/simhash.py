@@ -2,8 +2,8 @@
 
 ``fingerprints`` makes one 64-bit SimHash per text from the XXH64 of its word shingles. ``link_fingerprints`` finds all
 fingerprints within a small radius exactly: whoever differs in at most r of 64 bits agrees on one of r + 1 parts, so the
-shards are the values of a part. A shard that is too large is split again by the parts of its other bits, which bounds every
-shard by construction. A shard becomes a BK-tree (children keyed by their Hamming distance to the parent); a lookup
+shards are the values of a part. A shard that is too large is split again by the parts of its other bits, a few times; what stays large
+lies dense and is joined by flipping bits. A small shard becomes a BK-tree (children keyed by their Hamming distance to the parent); a lookup
 follows only edges within the radius. Trees stay in the task that owns the shard: sent to all tasks, they would grow with
 the data.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from .text import Words, mix, pieces
 
 #: A shard above this many fingerprints is split by further bits.
 SHARD = 1500
+#: So often; a shard that is large even then is joined by flipped bits.
+LEVELS = 4
 SEED = 42
 BANDS = 8
 NEAREST = 4
@@ -168,13 +171,34 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def link_fingerprints(nodes: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame:
+def _dense_links(rows: DataFrame, radius: int) -> DataFrame:
+    """Links of fingerprints so close together that no further bits part them.
+
+    Two fingerprints within the radius become one value by flipping half of the radius (rounded up) in one and the rest in the other.
+    So everybody looks for the smallest document at each value that it reaches: what it finds is within the radius, and
+    whoever is within the radius finds the same. 65 values a fingerprint at radius 2, however dense they lie.
+    """
+    distinct = rows.select("fp", "rep").distinct()
+
+    def reached(flips: int) -> DataFrame:
+        masks = [_signed(sum(1 << i for i in bits)) for k in range(flips + 1) for bits in combinations(range(64), k)]
+        return distinct.withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks]))).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("value"), "rep")
+
+    least = reached(radius // 2).groupBy("value").agg(F.min("rep").alias("b"))
+    return reached((radius + 1) // 2).join(least, "value").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+
+
+def link_fingerprints(nodes: DataFrame, radius: int = 2, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
     """nodes (fp, rep: distinct fingerprints and their smallest document) to links (a, b) of documents, enough to join all
-    fingerprints that reach each other by steps of at most radius bits."""
+    fingerprints that reach each other by steps of at most radius bits.
+
+    Masks that still hold a large shard are split further, levels times at most; what is large then lies so dense that flipped bits
+    join it.
+    """
     spark = nodes.sparkSession
     masks = _parts(0, radius + 1)
     rows, links = nodes.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in masks]))), None
-    while masks:
+    for level in range(levels):
         rows = rows.withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = rows.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sized = cut_lineage(rows.join(sizes, ["mask", "part"]))
@@ -182,13 +206,15 @@ def link_fingerprints(nodes: DataFrame, radius: int = 2, shard: int = SHARD) ->
         found = small.repartition("mask", "part").sortWithinPartitions("mask", "part", "rep").mapInArrow(partial(_tree_links, radius=radius), "a long, b long")
         links = found if links is None else links.union(found)
         rows = sized.filter(F.col("n") > shard).select("mask", "fp", "rep")
-        finer = [(m, x) for m in masks for x in _parts(m, radius + 1)] if not rows.isEmpty() else []
-        masks = [x for _, x in finer]
-        if finer:
-            # at most (radius + 1) ** level rows, and a few levels fix all bits
-            table = spark.createDataFrame([(_signed(a), _signed(b)) for a, b in finer], "mask long, finer long")
+        # at most (radius + 1) ** levels masks
+        crowded = [r["mask"] % (1 << 64) for r in rows.select("mask").distinct().collect()]
+        if not crowded:
+            return links
+        if level < levels - 1:
+            finer = [(_signed(m), _signed(x)) for m in crowded for x in _parts(m, radius + 1)]
+            table = spark.createDataFrame(finer, "mask long, finer long")
             rows = rows.join(F.broadcast(table), "mask").select("fp", "rep", F.col("finer").alias("mask"))
-    return links
+    return links.union(_dense_links(rows, radius))
 
 
 def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
