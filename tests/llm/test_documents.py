@@ -15,7 +15,7 @@ from noticelake.llm import ctw, host_rules, mixing, packing, quality, simhash, s
 
 from .conftest import lower, words
 
-RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+CODER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def groups(nodes, linked):
@@ -36,9 +36,8 @@ def test_packing_round_trip(docs, rows):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
     want = collections.Counter((d, tuple(coder.encode(t or "", add_special_tokens=False).ids) + (0,)) for d, t, _ in rows)
-    pieces = packing.pack(docs, *RANKS).collect()
+    pieces = packing.pack(docs, CODER).collect()
     sequences, whole, open_docs = collections.defaultdict(list), collections.Counter(), []
     for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
         assert p.offset == sum(x.length for x in sequences[p.sequence_id])
@@ -55,10 +54,21 @@ def test_packing_round_trip(docs, rows):
     parts = docs.rdd.getNumPartitions()
     used = sum(p.length for p in pieces)
     assert len(sequences) * 1024 - used <= parts * 1024 + 0.02 * used
-    digests = packing.with_digests(packing.pack(docs, *RANKS)).select("ids_crc32").collect()
+    digests = packing.with_digests(packing.pack(docs, CODER)).select("ids_crc32").collect()
     assert sorted(r[0] for r in digests) == sorted(zlib.crc32(p.ids) for p in pieces)
 
 
+def test_ids_of_long_blanks_and_special_strings():
+    from tokenizers import Tokenizer
+
+    coder, ids = Tokenizer.from_file(CODER[0]), packing.Ids(*CODER)
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" + " \t" * 1_000_000 + "b", "\u3000" * 20_000 + "x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|"]
+    texts += [" " * packing.BLANKS, " " * (packing.BLANKS - 1) + "x", "a" * 200_000, "=" * 100_000, "x \n" * 100_000, "é" * 50_000, ""]
+    for text in texts:
+        assert np.array_equal(np.frombuffer(ids.of(text), "<u4"), np.array(coder.encode(text, add_special_tokens=False).ids, np.uint32)), text[:20]
+    assert len(ids.marks) > 50256
+
+
 def test_window_cuts_are_optimal():
     rng = np.random.default_rng(3)
     for _ in range(20):
@@ -122,15 +132,17 @@ def test_simhash_components(docs, rows):
     assert got == collections.Counter((d, fp, least.get(of[fp])) for d, fp in made)
 
 
-def test_small_shards_lose_no_link(spark):
+@pytest.mark.parametrize(("shard", "levels", "radius"), [(2, 2, 2), (5, 4, 2), (60, 3, 2), (1500, 4, 2), (2, 2, 3), (3, 1, 1)])
+def test_small_shards_lose_no_link(spark, shard, levels, radius):
+    """Dense balls around a few centres, and one large ball of all that is one bit away from its centre."""
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 6)
-    fps = list({int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in rng.integers(0, 63, (40, 2))})
+    fps = {int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in rng.integers(0, 63, (15, 2))}
+    fps = list(fps | {int(base[0]) ^ (1 << i) for i in range(63)})
     nodes = spark.createDataFrame([(fp, i) for i, fp in enumerate(fps)], "fp long, rep long")
-    want = groups(range(len(fps)), [(i, j) for i, a in enumerate(fps) for j in range(i) if (a ^ fps[j]).bit_count() <= 2])
-    for shard in (2, 1500):
-        got = {r.node: r.component for r in simhash.components(simhash.link_fingerprints(nodes, 2, shard=shard)).collect()}
-        assert {i: got.get(i, i) for i in want} == want
+    want = groups(range(len(fps)), [(i, j) for i, a in enumerate(fps) for j in range(i) if (a ^ fps[j]).bit_count() <= radius])
+    got = {r.node: r.component for r in simhash.components(simhash.link_fingerprints(nodes, radius, shard, levels)).collect()}
+    assert {i: got.get(i, i) for i in want} == want
 
 
 def test_near_duplicates_keep_one_of_each_group(spark):
@@ -308,9 +320,48 @@ def test_context_tree_weighting(docs, spark):
 
 
 @pytest.mark.parametrize("apply", [
-    lambda d: packing.pack(d, *RANKS), host_rules.host_rules, simhash.simhash_components, simhash.near_duplicates, substrings.cut_documents,
+    lambda d: packing.pack(d, CODER), host_rules.host_rules, simhash.simhash_components, simhash.near_duplicates, substrings.cut_documents,
     substrings.without_repeats, mixing.taken_words, mixing.mixed, lambda d: ctw.scores(d, F.lit(False)),
     lambda d: quality.good_documents(d, d.selectExpr("doc_id", "1 AS quality")),
 ])
 def test_empty_table(empty, apply):
     assert apply(empty).collect() == []
+
+
+def test_repeated_words_and_passages_compact(spark):
+    """Runs of equal k-mers make few arcs; a passage that many documents hold is one row in each."""
+    from noticelake.llm.tables import Scratch
+    from noticelake.llm.text import Words, buffers
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(21)
+    draw = lambda n: [f"v{x}" for x in rng.integers(0, 10**6, n)]
+    passage, line = draw(400), draw(20)
+    texts = [[*draw(int(rng.integers(0, 60))), *passage, *draw(int(rng.integers(0, 60)))] for _ in range(12)]
+    texts += [["spam"] * n for n in (49, 50, 51, 300, 700)] + [["spam", "egg"] * 200, ["egg", "spam"] * 150, [*line * 9], [*draw(5), *line * 12, *draw(70)]]
+    texts += [[*passage[:200], *draw(30), *passage[100:]], [*passage[50:120], *draw(3), *passage[50:120]]]
+    texts = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    first = {}
+    for d, t in texts:
+        for i in range(len(words(t)) - 49):
+            key = tuple(words(t)[i : i + 50])
+            first[key] = min(first.get(key, d), d)
+    want = {}
+    for d, t in texts:
+        w = words(t)
+        want[d] = len({i + k for i in range(len(w) - 49) if first[tuple(w[i : i + 50])] < d for k in range(50)})
+    assert {r.doc_id: r.n_removed for r in substrings.cut_documents(docs).collect()} == want
+    data, offsets = buffers(pa.array(["spam " * 700]))
+    assert len(substrings.arcs_of(Words(data, offsets))[0]) <= 20
+    scratch = Scratch()
+    from functools import partial
+
+    arcs = substrings._keyed(docs.filter("doc_id < 12")).mapInArrow(partial(substrings._arc_rows, window=50, kmer=16), substrings.ARCS)
+    edges = arcs.groupBy("edge").agg((F.min("arc") < F.max("arc")).alias("branches"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
+    hits = scratch.stored(arcs.join(edges.select("edge", "branches"), "edge"))
+    nodes, paths = substrings.compacted(hits, scratch)
+    shared = hits.groupBy("arc").agg(F.countDistinct("doc_id").alias("n")).filter("n = 12").count()
+    assert shared > 10 and paths.filter("n > 250").count() == 1 and paths.count() < 5
+    scratch.drop()
