@@ -17,6 +17,8 @@ gives no rows; a null doc_id stays null; further columns take no part.
 from __future__ import annotations
 
 import base64
+import json
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -29,28 +31,41 @@ from pyspark.sql import functions as F
 LENGTH = 1024
 SENTENCE, HARD, GRID = 0.5, 2.0, 8
 STRETCH = 1 << 18
+#: White space in a row from which on the faster coder is not asked.
+BLANKS = 10_000
 SENTENCE_ENDS = (b".", b"!", b"?", b"\n", "。".encode(), "！".encode(), "？".encode())
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class Ids:
-    """Token ids of texts as little-endian 32-bit bytes.
+    """Token ids of texts as little-endian 32-bit bytes: those of the `tokenizers` file, with its own switches and no special ids added.
 
-    path: ranks of a byte-level BPE. The ids are those of the same vocabulary's `tokenizers` file (a test compares them).
+    ranks: the same vocabulary's ranks, which a faster coder reads. It takes all texts but those that hold a special token's
+    string, and those with a run of blanks that its pattern can't go back over; the file's coder, loaded when needed, takes these.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, file: str, ranks: str, pattern: str):
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-        self.coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.marks = np.zeros(max(ranks.values()) + 1, bool)
-        for word, rank in ranks.items():
+        with open(ranks, "rb") as lines:
+            words = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+        with open(file, encoding="utf-8") as text:
+            added = [(token["content"], token["id"]) for token in json.load(text)["added_tokens"]]
+        self.file, self.exact = file, None
+        self.odd = re.compile("|".join([r"\s{%d}" % BLANKS, *(re.escape(content) for content, _ in added)]))
+        self.coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=words, special_tokens={})
+        self.marks = np.zeros(max([*words.values(), *(k for _, k in added)]) + 1, bool)
+        for word, rank in words.items():
             self.marks[rank] = word.endswith(SENTENCE_ENDS)
 
     def of(self, text: str) -> bytes:
-        return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        if not self.odd.search(text):
+            return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        if self.exact is None:
+            from tokenizers import Tokenizer
+
+            self.exact = Tokenizer.from_file(self.file)
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def cuts(ends: np.ndarray, sentence: np.ndarray, length: int, sentence_cost: float = SENTENCE, hard_cost: float = HARD, grid: int = GRID) -> list[int]:
@@ -130,12 +145,12 @@ class Packer:
         return out
 
 
-def packer(path: str, pattern: str, length: int, end_id: int):
+def packer(coder: tuple[str, str, str], length: int, end_id: int):
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end = Ids(path, pattern), np.array([end_id], "<u4").tobytes()
+        ids, end = Ids(*coder), np.array([end_id], "<u4").tobytes()
         made = Packer(length, ids.marks, TaskContext.get().partitionId() << 40)
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -152,9 +167,13 @@ def packer(path: str, pattern: str, length: int, end_id: int):
     return pack
 
 
-def pack(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, end_id: int = 0) -> DataFrame:
-    """PIECES of every document: ids (little-endian unsigned 32-bit), where they start in it and where they lie in a sequence."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(packer(path, pattern, length, end_id), PIECES)
+def pack(docs: DataFrame, coder: tuple[str, str, str], length: int = LENGTH, end_id: int = 0) -> DataFrame:
+    """PIECES of every document: ids (little-endian unsigned 32-bit), where they start in it and where they lie in a sequence.
+
+    coder: paths of a `tokenizers` file and of its ranks, and the pattern that parts words. Every input partition ends in a window that
+    is cut short, so many small files cost a window each; repartition them first if that matters.
+    """
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(packer(coder, length, end_id), PIECES)
 
 
 def with_digests(pieces: DataFrame) -> DataFrame:

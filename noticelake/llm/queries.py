@@ -10,6 +10,8 @@ from noticelake.session import configure
 
 from . import chat, collocations, ctw, divergence, extraction, host_rules, mixing, oracles, packing, quality, simhash, substrings, topk, url_filter
 
+#: The contract's tokenizer: its file, the same vocabulary as ranks, and the pattern of both.
+CODER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 QUERIES: dict = {}
 ORACLES: dict[str, str] = oracles.SQL
 
@@ -70,8 +72,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return packing.with_digests(pieces)
+    return packing.with_digests(packing.pack(docs, CODER))
 
 
 #: Fixed by the contract.
