@@ -142,6 +142,11 @@ def redacted_record_id(source: Column, record_id: Column, identifiers: Column |
     return F.when(leaks(record_id, identifiers), F.concat(F.lit("redacted-"), digest)).otherwise(record_id)
 
 
+def public_since(now: Column, days: int = 30) -> Column:
+    """The earliest end of an auction whose plates are still shown."""
+    return now - F.make_dt_interval(F.lit(days))
+
+
 def plate_still_public(ends_at: Column, now: Column, days: int = 30) -> Column:
     """Plates stay visible until thirty days after a known end."""
-    return F.coalesce(ends_at >= now - F.make_dt_interval(F.lit(days)), F.lit(False))
+    return F.coalesce(ends_at >= public_since(now, days), F.lit(False))

@@ -1,7 +1,8 @@
 """Streams over landing folders. Each equals its batch operator on the same input.
 
-All run with ``availableNow``, so the batch result is the reference. What a stream must
-remember is a table beside it, not state behind a watermark: late rows are rows like others.
+All run with ``availableNow``, so the batch result is the reference. Late rows are rows like others: keys that were seen are kept in
+keyed state on the executors' disks (checkpointed, never behind a watermark), counters and records in tables beside the stream.
+No batch reads what earlier batches wrote.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import instant
+from ..functions.redact import plate_still_public, public_since
 from ..functions.text import content_path
-from ..operators.dedupe import top_per_key
+from ..operators import versioned
 from ..operators.retention import clear_expired_plates
-from ..operators.upsert import SNAPSHOT_KEY, tie_break, upsert_table
+from ..operators.upsert import SNAPSHOT_KEY
 
 c = F.col
 
@@ -39,20 +42,24 @@ CHANGE_KEY = SNAPSHOT_KEY
 LANDING_KEY = ["checksum_sha256", "storage_path"]
 
 
-def first_seen_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str], time: str) -> StreamingQuery:
-    """Each key once for ever: the earliest row of the first batch that has it, whatever its delay.
+def with_disk_state(spark: SparkSession) -> SparkSession:
+    """State in RocksDB with changelogs: its size follows the executors' disks, and a batch writes what it changed."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
 
-    Stored keys are the memory, so nothing is forgotten and no late row is lost. Both sides have one row per key when they meet.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        first = top_per_key(batch, keys, [c(time).asc(), tie_break(batch)])
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
-        stored = batch.sparkSession.read.schema(schema).parquet(path) if batch_id else batch.withColumn("batch_id", F.lit(0)).limit(0)
-        known = stored.filter(c("batch_id") < batch_id).select(*[c(k).alias(f"_k_{k}") for k in keys])
-        _replace_batch(first.join(known, [c(k).eqNullSafe(c(f"_k_{k}")) for k in keys], "left_anti"), batch_id, path)
+def first_seen_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Each key once for ever, in the first batch that has it, whatever its delay.
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    A batch looks its own keys up in the state and reads nothing else. Of rows of one batch with one key any one stays, so columns
+    beside the keys tell of one sighting in that batch.
+    """
+    with_disk_state(stream.sparkSession)
+    return (
+        stream.dropDuplicates(keys).writeStream.foreachBatch(lambda batch, batch_id: _replace_batch(batch, batch_id, path))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
 def run_windows(outcomes: DataFrame, window: str = "1 day") -> DataFrame:
@@ -80,23 +87,50 @@ def read_windows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str], rules: dict[str, str], order: str,
-                buckets: int = 64) -> StreamingQuery:
-    """Keep the latest row per key in a bucketed table; re-running a batch changes nothing."""
+                buckets: int = versioned.LEAST_BUCKETS, name: str = "upsert") -> StreamingQuery:
+    """Keep the latest row per key in a versioned table. A batch appends its own rows; one that comes twice changes nothing."""
 
-    def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, path, batch, keys, rules, c(order), buckets)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        versioned.upsert_batch(batch.sparkSession, path, batch, keys, rules, c(order), buckets, (name, batch_id))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def plate_sink(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append listings as they come; plates expire when they are read."""
-    return (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: _replace_batch(batch, batch_id, path))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+NO_END = "no-end"
+
+
+def plate_sink(stream: DataFrame, path: str, checkpoint: str, keys: list[str], name: str = "plates") -> StreamingQuery:
+    """Append listings as they come, each to the files of the day its auction ends on. Without an end no plate is stored."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.date_format("ends_at", "yyyy-MM-dd"), F.lit(NO_END))
+        rows = batch.withColumn("plate_number", F.when(c("ends_at").isNotNull(), c("plate_number"))).withColumn("bucket", day)
+        versioned.append_rows(batch.sparkSession, path, rows, keys, (name, batch_id))
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def sweep_plates(spark: SparkSession, path: str, as_of) -> list[str]:
+    """Remove plates that have expired by ``as_of`` from the stored files; the days that were rewritten.
+
+    Only days that can hold such a plate are read. Their listings move to files without plates, and the files that had them are
+    deleted with the versions that named them. A sweep that dies leaves the table as it was; the next one does its work.
+    """
+    found = versioned.manifest(spark, path)
+    end = spark.range(1).select(F.date_format(public_since(instant(as_of)), "yyyy-MM-dd")).first()[0]
+    due = [b for b in versioned.buckets_of(found) if b[0].isdigit() and b <= end]
+    if due:
+        gone = F.lit(f"cleared-{found['version'] + 1}")
+
+        def cleared(rows: DataFrame) -> DataFrame:
+            kept = plate_still_public(c("ends_at"), instant(as_of))
+            return clear_expired_plates(rows, as_of).withColumn("bucket", F.when(kept, c("bucket")).otherwise(gone))
+
+        versioned.rewrite(spark, path, due, cleared)
+        versioned.vacuum(spark, path, keep=1)
+    return due
 
 
 def read_plates(spark: SparkSession, path: str, as_of) -> DataFrame:
-    """The listings with every plate cleared that has expired by ``as_of``, however long ago it was written."""
-    return clear_expired_plates(spark.read.parquet(path).drop("batch_id"), as_of)
+    """The listings with every plate cleared that has expired by ``as_of``, swept or not."""
+    return clear_expired_plates(versioned.read_table(spark, path), as_of)

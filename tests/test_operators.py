@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from noticelake.operators import evidence, filters, identity, paging, quality, query_params, retention, runs, upsert
+from noticelake.operators import evidence, filters, identity, paging, quality, query_params, retention, runs, upsert, versioned
 from noticelake.operators.completeness import completeness, has_items, is_known
 from noticelake.sources import feeds, seeds
 
@@ -54,13 +54,79 @@ def test_upsert_matches_brute_force_with_hot_and_null_keys(spark):
     assert {r.k: tuple(r) for r in again.collect()} == want
 
 
-def test_upsert_table_rewrites_touched_buckets_only(spark, workdir):
+def test_versioned_table_merges_batches_by_rules(spark, workdir):
+    path, rules = f"{workdir}/t", {"v": "coalesce", "low": "min", "high": "max", "first": "keep"}
+    draw, want, schema = random.Random(3), {}, "k int, at int, v string, low int, high int, first string, last string"
+    for batch in range(1, 8):
+        rows = [(draw.choice([None, *range(30)]), i, draw.choice([None, "x", "y"]), draw.randrange(9), draw.randrange(9), f"f{batch}-{i}", f"l{batch}-{i}") for i in range(40)]
+        frame = spark.createDataFrame(rows, schema)
+        narrow = batch in (3, 5)
+        versioned.upsert_batch(spark, path, frame.drop("last", "low") if narrow else frame, ["k"], rules, c("at"), buckets=3, batch_id=("s", batch), deltas=3)
+        versioned.upsert_batch(spark, path, frame, ["k"], rules, c("at"), batch_id=("s", batch))  # a repeated batch is skipped
+        newest, oldest = {}, {}
+        for k, at, v, low, high, first, last in rows:
+            old = want.get(k)
+            mine = newest.setdefault(k, {"v": None, "low": None, "high": high, "first": None, "last": None, "at": -1, "v_at": -1})
+            mine["high"] = max(mine["high"], high)
+            mine["low"] = low if mine["low"] is None else min(mine["low"], low)
+            if v is not None:
+                mine["v"] = v
+            mine["last"], mine["at"] = last, at
+            oldest.setdefault(k, first)
+        for k, mine in newest.items():
+            old = want.get(k)
+            lows = [x for x in (old and old["low"], None if narrow else mine["low"]) if x is not None]
+            want[k] = {
+                "v": mine["v"] if mine["v"] is not None else old and old["v"], "low": min(lows) if lows else None, "high": max(mine["high"], old["high"] if old else 0),
+                "first": old["first"] if old else oldest[k], "last": (old["last"] if old else None) if narrow else mine["last"], "at": mine["at"],
+            }
+        got = {r.k: r.asDict() for r in versioned.read_table(spark, path).collect()}
+        assert got == {k: {"k": k, **x} for k, x in want.items()}, batch
+    found = versioned.manifest(spark, path)
+    assert found["streams"] == {"s": 7} and any(p["kind"] == "base" for p in found["parts"])
+    some = spark.createDataFrame([(4,), (7,), (999,)], "k int")
+    assert {r.k for r in versioned.lookup(spark, path, some).collect()} == {4, 7} & want.keys()
+    before = sorted(map(str, versioned.read_table(spark, path).collect()))
+    versioned.compact(spark, path, bucket_bytes=500, file_bytes=300)  # more buckets, and several files in each
+    made = versioned.manifest(spark, path)
+    assert made["buckets"] > 3 and [p["kind"] for p in made["parts"]] == ["base"]
+    assert sorted(map(str, versioned.read_table(spark, path).collect())) == before
+    assert sorted(map(str, versioned.read_table(spark, path, found["version"]).collect())) == before
+    versioned.upsert_batch(spark, path, spark.createDataFrame([(4, 1, "z", 0, 0, "f", "l")], schema), ["k"], rules, c("at"))
+    assert versioned.vacuum(spark, path, keep=1) > 0 and versioned.read_table(spark, path).count() == len(want)
+    assert len(versioned.versions(spark, path)) == 1
+
+
+def test_a_dead_write_leaves_the_version_before(spark, workdir, monkeypatch):
     path = f"{workdir}/t"
-    first = spark.createDataFrame([(i, "a") for i in range(50)], "id int, v string")
-    upsert.upsert_table(spark, path, first, ["id"], buckets=8)
-    upsert.upsert_table(spark, path, spark.createDataFrame([(3, "b"), (99, "c")], "id int, v string"), ["id"], buckets=8)
-    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
-    assert len(got) == 51 and got[3] == "b" and got[99] == "c" and got[4] == "a"
+    rows = lambda *ids: spark.createDataFrame([(i, f"v{i}") for i in ids], "k int, v string")
+    versioned.upsert_batch(spark, path, rows(1, 2), ["k"])
+    with monkeypatch.context() as broken:
+        broken.setattr(versioned, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            versioned.upsert_batch(spark, path, rows(1, 3), ["k"])
+    assert {r.k for r in versioned.read_table(spark, path).collect()} == {1, 2}
+    stale = versioned.manifest(spark, path)
+    versioned.upsert_batch(spark, path, rows(5), ["k"])
+    with pytest.raises(versioned.Conflict):
+        versioned.commit(spark, path, stale)
+    assert versioned.vacuum(spark, path) == 1  # what the dead write left
+    assert {r.k for r in versioned.read_table(spark, path).collect()} == {1, 2, 5}
+
+
+def test_a_batch_reads_no_stored_rows(spark, workdir):
+    path = f"{workdir}/t"
+    versioned.upsert_batch(spark, path, spark.range(1000).withColumn("v", c("id") % 7), ["id"], buckets=8)
+    found = versioned.manifest(spark, path)
+    one = found["parts"][0]["buckets"][:1]
+    plan = versioned._read(spark, path, found, one)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and one[0] in plan and "Exchange" not in plan
+
+
+def test_columns_that_a_batch_lacks_stay(spark):
+    old = spark.createDataFrame([(1, "reviewed", 5), (2, "x", 6)], "k int, note string, n int")
+    merged = upsert.upsert(old, spark.createDataFrame([(1, 7), (3, 8)], "k int, n int"), ["k"])
+    assert {tuple(r) for r in merged.collect()} == {(1, "reviewed", 7), (2, "x", 6), (3, None, 8)}
 
 
 def test_new_rows_treat_null_keys_as_equal(spark):

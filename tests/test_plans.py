@@ -115,13 +115,44 @@ def test_a_stream_keeps_late_rows_and_old_keys(spark, workdir):
             stream = jobs.read_stream(spark, f"{workdir}/in", spark.read.parquet(f"{workdir}/in").schema)
             if out == "windows":
                 stream = stream.select(F.col("record_id").alias("source_id"), "observed_at", F.lit(None).cast("string").alias("error"))
-            more = (jobs.CHANGE_KEY, "observed_at") if out == "seen" else ()
+            more = (jobs.CHANGE_KEY,) if out == "seen" else ()
             start(stream, f"{workdir}/{out}", f"{workdir}/{out}-state", *more).awaitTermination()
     seen = sorted((r.record_id, r.payload_checksum) for r in spark.read.parquet(f"{workdir}/seen").collect())
     assert seen == [(0, "b"), (1, "a"), (1, "b"), (2, "b"), (3, "b")]
     assert jobs.read_windows(spark, f"{workdir}/windows").agg(F.sum("discovered_count")).first()[0] == 8
 
 
+def test_batches_of_a_stream_read_their_own_rows_alone(spark, workdir):
+    """Twenty files in as many batches: each takes in its own rows, the state keeps every key once, and nothing reads the sink."""
+    for i in range(20):
+        spark.range(i * 5, i * 5 + 10).selectExpr("id AS record_id", "'a' AS payload_checksum", "'1' AS parser_version").coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+    stream = jobs.read_stream(spark, f"{workdir}/in", spark.read.parquet(f"{workdir}/in").schema, per_batch=1)
+    query = jobs.first_seen_sink(stream, f"{workdir}/seen", f"{workdir}/state", jobs.CHANGE_KEY)
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [10] * 20
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 105 and "rocksdbPutCount" in progress[-1]["stateOperators"][0]["customMetrics"]
+    rows = spark.read.parquet(f"{workdir}/seen")
+    assert rows.count() == rows.select("record_id").distinct().count() == 105
+
+
+def test_expired_plates_leave_the_files(spark, workdir):
+    path = f"{workdir}/plates"
+    rows = [(i, f"2026-0{m}-{d:02d} 10:00:00" if m else None, f"AB-{i:04d}") for i, (m, d) in enumerate([(1, 5), (1, 6), (2, 1), (2, 1), (3, 1), (None, 0)])]
+    spark.createDataFrame(rows, "id int, d string, plate_number string").withColumn("ends_at", F.to_timestamp("d")).drop("d").coalesce(1).write.parquet(f"{workdir}/in")
+    stream = jobs.read_stream(spark, f"{workdir}/in", spark.read.parquet(f"{workdir}/in").schema)
+    jobs.plate_sink(stream, path, f"{workdir}/state", ["id"]).awaitTermination()
+    files = lambda: {r.id: r.plate_number for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/data").collect()}
+    assert files() == {0: "AB-0000", 1: "AB-0001", 2: "AB-0002", 3: "AB-0003", 4: "AB-0004", 5: None}
+    assert jobs.sweep_plates(spark, path, "2026-02-05 09:00:00") == ["2026-01-05", "2026-01-06"]
+    assert files() == {0: None, 1: "AB-0001", 2: "AB-0002", 3: "AB-0003", 4: "AB-0004", 5: None}
+    # a sweep that dies on its way changes nothing, the next one does both days' work; days that are done are not read again
+    assert jobs.sweep_plates(spark, path, "2026-03-20 00:00:00") == ["2026-01-06", "2026-02-01"]
+    assert files() == {0: None, 1: None, 2: None, 3: None, 4: "AB-0004", 5: None}
+    assert {r.id: r.plate_number for r in jobs.read_plates(spark, path, "2026-05-01 00:00:00").collect()} == dict.fromkeys(range(6))
+    assert jobs.sweep_plates(spark, path, "2026-03-20 00:00:00") == []
+
+
 def test_large_files_are_reported(spark, workdir):
     for name, size in (("a.html", 5), ("b.html", 500)):
         with open(f"{workdir}/{name}", "wb") as f:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert
+from noticelake.operators import dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert, versioned
 from noticelake.operators.completeness import completeness, has_text, is_known, never
 from noticelake.schemas import AUCTION_STATUSES, DISPOSAL_ORIGINS
+from noticelake.session import shared_dir
 from noticelake.sources import seeds
 
 from .derive import AS_OF, base, market, notices, spark_sql, with_market, with_notices
@@ -60,6 +63,34 @@ def upsert_records(spark, sf_dir):
     return merged.select("record_id", "title", "path", "amount", stamp("first_seen"), stamp("last_seen"), "kept")
 
 
+THIRDS = """
+thirds AS (
+  SELECT user_id AS record_id, event_id, CAST(ts AS TIMESTAMP) AS seen_at, event_type AS title, CASE WHEN value < 50 THEN NULL ELSE event_type END AS path,
+         CAST(floor(value) AS BIGINT) AS amount, CASE WHEN CAST(ts AS TIMESTAMP) < TIMESTAMP '2024-01-11 00:00:00' THEN 1 WHEN CAST(ts AS TIMESTAMP) < TIMESTAMP '2024-01-21 00:00:00' THEN 2 ELSE 3 END AS batch
+  FROM events
+)"""
+
+
+@query("upsert_table_rows", "WITH " + THIRDS + """
+SELECT record_id, arg_max(title, CAST(batch AS BIGINT) * 1000000000 + event_id) AS title, arg_max(path, CAST(batch AS BIGINT) * 1000000000 + event_id) FILTER (WHERE path IS NOT NULL) AS path,
+  max(amount) FILTER (WHERE batch <> 2) AS amount, arg_min(title, CAST(batch AS BIGINT) * 1000000000 + event_id) AS kept,
+  arg_max(title, CAST(batch AS BIGINT) * 1000000000 + event_id) FILTER (WHERE batch <> 2) AS note, strftime(min(seen_at), '%Y-%m-%d %H:%M:%S') AS first_seen
+FROM thirds GROUP BY record_id""")
+def upsert_table_rows(spark, sf_dir):
+    """Three batches into a versioned table. The second one lacks two columns, and compaction comes between the second and the third."""
+    path = f"{shared_dir(spark)}/versioned-{uuid.uuid4().hex}"
+    rules = {"path": "coalesce", "amount": "max", "first_seen": "min", "kept": "keep"}
+    rows = spark_sql(spark, sf_dir, THIRDS, "SELECT *, title AS kept, title AS note, seen_at AS first_seen FROM thirds")
+    for batch in (1, 2, 3):
+        own = rows.filter(c("batch") == batch).select(
+            "record_id", "event_id", "title", "path", "kept", "first_seen", *(["amount", "note"] if batch != 2 else []))
+        versioned.upsert_batch(spark, path, own, ["record_id"], rules, c("event_id"))
+        if batch == 2:
+            versioned.compact(spark, path)
+    return versioned.read_table(spark, path).select(
+        "record_id", "title", "path", "amount", "kept", "note", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
+
+
 @query("change_detection", "WITH " + SIGHTINGS + f"""
 SELECT n.record_id, n.payload_checksum, n.parser_version, n.event_id, k.record_id IS NULL AS new_snapshot, k.record_id IS NULL OR r.record_id IS NULL AS changed
 FROM (SELECT record_id, payload_checksum, parser_version, min(event_id) AS event_id FROM sightings WHERE seen_at >= {MONTH} GROUP BY ALL) n
