@@ -35,7 +35,7 @@ from .tables import Scratch, stored
 from .text import Words, pieces, sums
 
 DEPTH = 5
-BLOCK = 26 << 20
+BLOCK = 20 << 20
 PART = 2 << 20
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
@@ -89,18 +89,19 @@ def _parts(block: pa.Table):
 
 
 def _block_keys(key: tuple, block: pa.Table) -> pa.Table:
+    """A block's distinct keys in order. Parts are merged as they come, so that a block's own grams are never held together."""
     learned = ~np.asarray(block["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
-    found: list[list] = [[], []]
+    found = [_merged([], []), _merged([], [])]
     for lo, hi, words, grams, first in _parts(block):
-        found[0].append(_counted(words.hashes(), np.repeat(learned[lo:hi], words.counts)))
-        found[1].append(_counted(grams, np.repeat(learned[lo:hi], np.diff(first))))
-    parts = [_merged([k for k, _ in x], [c for _, c in x]) for x in found]
-    total = sum(len(k) for k, _ in parts)
+        for k, (keys, each) in enumerate(((words.hashes(), words.counts), (grams, np.diff(first)))):
+            some, n = _counted(keys, np.repeat(learned[lo:hi], each))
+            found[k] = _merged([found[k][0], some], [found[k][1], n])
+    total = sum(len(k) for k, _ in found)
     return pa.table({
         "block": pa.array(np.full(total, key[0].as_py(), np.int64)),
-        "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int32), [len(k) for k, _ in parts])),
-        "key": pa.array(np.concatenate([k for k, _ in parts]).view(np.int64)),
-        "n": pa.array(np.concatenate([c for _, c in parts])),
+        "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int32), [len(k) for k, _ in found])),
+        "key": pa.array(np.concatenate([k for k, _ in found]).view(np.int64)),
+        "n": pa.array(np.concatenate([c for _, c in found])),
     })
 
 
@@ -285,8 +286,8 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size, ends = rows.agg(F.sum(F.octet_length("text") + 1), F.sum((~F.col("held_out")).cast("long"))).first()
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-(size or 0) // BLOCK)))))
-    keys = stored(rows.groupBy("block").applyInArrow(_block_keys, "block long, kind int, key long, n long"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-(size or 0) // BLOCK)))))
+    keys = stored(rows.groupBy("block").applyInArrow(_block_keys, "block long, kind int, key long, n long"), ascending=True)
     words = keys.filter(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n"))
     scratch = Scratch()
     words = scratch.stored(words)

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame
 from noticelake.session import shared_dir
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as a compressed table in the shared folder; what is read from it does not depend on executors' disks."""
+def stored(df: DataFrame, ascending: bool = False) -> DataFrame:
+    """df as a compressed table in the shared folder; what is read from it does not depend on executors' disks.
+
+    ascending: numbers mostly grow from row to row, so their differences are written.
+    """
     path = f"{shared_dir(df.sparkSession)}/table-{os.urandom(8).hex()}"
-    df.write.parquet(path)
+    write = df.write.option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary", "false") if ascending else df.write
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -22,8 +26,8 @@ class Scratch:
     def __init__(self) -> None:
         self.tables: list[DataFrame] = []
 
-    def stored(self, df: DataFrame) -> DataFrame:
-        self.tables.append(stored(df))
+    def stored(self, df: DataFrame, ascending: bool = False) -> DataFrame:
+        self.tables.append(stored(df, ascending))
         return self.tables[-1]
 
     def drop(self, *tables: DataFrame) -> None:
