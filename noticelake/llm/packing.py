@@ -49,8 +49,11 @@ class Ids:
 
         with open(ranks, "rb") as lines:
             words = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-        with open(file, encoding="utf-8") as text:
-            added = [(token["content"], token["id"]) for token in json.load(text)["added_tokens"]]
+        with open(file, encoding="utf-8") as whole:
+            text = whole.read()
+        # the rest of the file is the vocabulary, which the ranks hold already
+        tokens, _ = json.JSONDecoder().raw_decode(text, text.index("[", text.index('"added_tokens"')))
+        added = [(token["content"], token["id"]) for token in tokens]
         self.file, self.exact = file, None
         self.odd = re.compile("|".join([r"\s{%d}" % BLANKS, *(re.escape(content) for content, _ in added)]))
         self.coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=words, special_tokens={})
