@@ -8,7 +8,7 @@ optional discovery columns of ``records.landed``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from ..sources.lists import attachment_urls
 from ..sources.manifests import COURT_FIELDS
 from .records import (
     evidence, evidence_list, identifier, iso_taipei, item, landed, link_evidence, plate_identifier, present_identifiers,
-    separable_units, split, suppress_for_mixed, units_of,
+    outcome_rows, separable_units, split, suppress_for_mixed, units_of,
 )
 
 c = F.col
@@ -93,7 +93,7 @@ def _condition_flags(last: Column) -> list[Column]:
 
 
 # --- seized property (central portal) --------------------------------------------------
-def normalize_seized(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_seized(pages: DataFrame, as_of) -> DataFrame:
     """Seized-property detail page, or the exact central list row when no detail was landed."""
     now = dates.instant(as_of)
     p = Page()
@@ -161,11 +161,11 @@ def normalize_seized(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
         }),
         "error": F.when(c("vehicle_type") == "UNKNOWN", "record names neither a car nor a motorcycle"),
     })
-    return split(df)
+    return df
 
 
 # --- enforcement detail -----------------------------------------------------------------
-def normalize_enforcement(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_enforcement(pages: DataFrame, as_of) -> DataFrame:
     """Enforcement detail page: the list under the notice heading."""
     now = dates.instant(as_of)
     p = Page()
@@ -228,14 +228,14 @@ def normalize_enforcement(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame
         }),
         "error": F.when(c("vehicle_type") == "UNKNOWN", "record names neither a car nor a motorcycle"),
     })
-    return split(df)
+    return df
 
 
 # --- court result row -------------------------------------------------------------------
 COURT_ROW = T.StructType([T.StructField(n, T.StringType()) for n in COURT_FIELDS])
 
 
-def normalize_court(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_court(pages: DataFrame, as_of) -> DataFrame:
     """One structured court result row per landed JSON object."""
     now = dates.instant(as_of)
     df = landed(pages).withColumn("row", F.from_json("content", COURT_ROW))
@@ -350,11 +350,11 @@ def normalize_court(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
             "media": [F.coalesce(c("pictures") > 0, F.lit(False))],
         }),
     })
-    return split(df)
+    return df
 
 
 # --- procurement detail -----------------------------------------------------------------
-def normalize_procurement(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_procurement(pages: DataFrame, as_of) -> DataFrame:
     """Asset-sale detail: rows of one or two label/value pairs."""
     now = dates.instant(as_of)
     df = with_page(landed(pages), "content").withColumn("pairs", Page().paired_cells()).drop("page")
@@ -426,14 +426,14 @@ def normalize_procurement(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame
         }),
         "error": F.when(blank_to_null(c("title")).isNull(), "detail page has no title"),
     })
-    return split(df)
+    return df
 
 
 # --- online sale detail -----------------------------------------------------------------
 SALE_PLATE = r"(?i)[A-Z0-9]{2,4}[－-][A-Z0-9]{2,4}"
 
 
-def normalize_sale(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_sale(pages: DataFrame, as_of) -> DataFrame:
     """Online-sale detail: heading, two-cell rows and ``label：value`` lines."""
     now = dates.instant(as_of)
     p = Page()
@@ -549,11 +549,11 @@ def normalize_sale(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
         }),
         "error": F.when(blank_to_null(c("heading")).isNull(), "detail page has no heading"),
     })
-    return split(df)
+    return df
 
 
 # --- branch post ------------------------------------------------------------------------
-def normalize_branch_post(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_branch_post(pages: DataFrame, as_of) -> DataFrame:
     """Branch CMS post: meta title, body section and PDF links."""
     now = dates.instant(as_of)
     p = Page()
@@ -610,11 +610,11 @@ def normalize_branch_post(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame
         "registration": [is_known(c("registration_status")), _plates_present(), never()],
         "fees": [never()] * 3, "media": [media],
     }))
-    return split(df)
+    return df
 
 
 # --- customs notice ---------------------------------------------------------------------
-def normalize_customs(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def normalize_customs(pages: DataFrame, as_of) -> DataFrame:
     """Customs announcement: the longest article scope and its download links."""
     now = dates.instant(as_of)
     p = Page()
@@ -684,10 +684,10 @@ def normalize_customs(pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
             _auction_flags(), c("registration_status"), c("deposit"), c("attachments")),
         "error": F.when(~typed & c("generic").isNull(), "notice names no vehicle in the landed HTML"),
     })
-    return split(df)
+    return df
 
 
-NORMALIZERS: dict[str, Callable[[DataFrame, object], tuple[DataFrame, DataFrame]]] = {
+NORMALIZERS: dict[str, Callable[[DataFrame, object], DataFrame]] = {
     "shwoo": normalize_sale,
     "judicial": normalize_court,
     "pcc": normalize_procurement,
@@ -700,5 +700,10 @@ NORMALIZERS: dict[str, Callable[[DataFrame, object], tuple[DataFrame, DataFrame]
 
 def normalize(source: str, pages: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     """Records and errors of one source's landed pages."""
-    return NORMALIZERS[source](pages, as_of)
+    return split(NORMALIZERS[source](pages, as_of))
+
+
+def outcomes(source: str, pages: DataFrame, as_of, carry: Iterable[str] = ()) -> DataFrame:
+    """One row per landed page: its record's fields, ``error`` (NULL for a record) and the page's own columns to carry on."""
+    return outcome_rows(NORMALIZERS[source](pages, as_of), carry)
 

@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import listing, upsert
-from noticelake.plans import ingest, publish
+from noticelake.operators import listing, upsert, versioned
+from noticelake.plans import ingest
+from noticelake.plans import jobs as jobs_
 from noticelake.plans.notices import normalize
 from noticelake.session import cut_lineage
 from noticelake.sources import artifacts as art
@@ -53,41 +54,75 @@ def test_tables_are_idempotent_and_feed_the_listing(spark, batch):
     assert {r.brand_name for r in rows.values() if r.listing_entity == "vehicle"} == {"KYMCO"}
 
 
+def counted(pages, spark):
+    """The pages, and how many times one of them was read."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    return pages.mapInArrow(seen, pages.schema), reads
+
+
 def test_publish_job(spark, batch, workdir):
-    _, records, errors, landed = batch
-    projected = cut_lineage(publish.public_projection(records, AS_OF))
-    empty = {
-        "public": projected.limit(0), "snapshots": publish.snapshot_rows(records, AS_OF).limit(0),
-        "artifacts": publish.artifact_rows(landed, records).limit(0),
-    }
-    out = publish.publish(records, errors, empty, landed, AS_OF)
-    run = out["run"].first()
-    assert (run.parsed_count, run.failed_count, run.changed_count, run.status) == (3, 1, 3, "PARTIAL")
-    rows = {r.source_record_id: r for r in out["public"].collect()}
-    assert rows["1"].plate_number == "TST-***" or rows["1"].plate_number == "TST-3***"
+    pages, _, _, landed = batch
+    path = f"{workdir}/tables"
+    arrived, reads = counted(landed.drop("source_adapter"), spark)
+    run = jobs_.publish_job(spark, "moj_auction", "來源", arrived, path, AS_OF, 1).first()
+    assert reads.value == 4  # each page once in the whole job
+    assert (run.discovered_count, run.fetched_count, run.parsed_count, run.failed_count, run.changed_count, run.status) == (4, 4, 3, 1, 3, "PARTIAL")
+    assert run.run_warnings == ["Parse success rate fell below 90%"] and run.warning_count == 2
+    rows = {r.source_record_id: r for r in versioned.read_table(spark, f"{path}/public").collect()}
+    assert rows["1"].plate_number == "TST-3***"
     assert rows["2"].plate_number == "TST-3***、TST-4***" and rows["3"].plate_number is None
     text = " ".join(str(r) for r in rows.values())
     for secret in ("TST-3001", "王小明", "0912345678"):
         assert secret not in text
-    assert all(r.violations == 0 for r in out["violations"].collect())
-    stored = {"public": out["public"], "snapshots": out["snapshots"], "artifacts": out["artifacts"]}
-    again = publish.publish(records, errors, stored, landed, AS_OF)
-    assert again["snapshots"].count() == 0 and again["artifacts"].count() == 0 and again["public"].count() == 3
-    publish.feed_export(out["public"], errors, f"{workdir}/feed")
+    assert all(r.violations == 0 for r in jobs_.public_checks(spark, path, AS_OF).collect())
+    assert versioned.read_table(spark, f"{path}/artifacts").select("parser_version").distinct().first()[0] == "1.4.0"
+    # the same pages again change nothing; a repeated run is skipped
+    for number in (2, 2):
+        again = jobs_.publish_job(spark, "moj_auction", "來源", arrived, path, AS_OF, number).first()
+        assert (again.parsed_count, again.changed_count) == (3, 0)
+    assert versioned.read_table(spark, f"{path}/snapshots").count() == 3 and versioned.read_table(spark, f"{path}/public").count() == 3
+    # a month after the end the plates leave the table, its search text and its files, though nothing is published
+    later = "2026-10-01 00:00:00"
+    none = jobs_.publish_job(spark, "moj_auction", "來源", landed.drop("source_adapter").limit(0), path, later, 3).first()
+    assert none.status == "PARTIAL" and none.run_warnings == ["Discovery returned zero records; prior data was preserved"]
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/public/data").select("plate_number", "search_text").collect()
+    assert versioned.read_table(spark, f"{path}/public").count() == 3
+    assert all(r.plate_number is None and "tst-" not in r.search_text for r in stored)
+    jobs_.export_feed(spark, path, 1, f"{workdir}/feed")
     assert spark.read.json(f"{workdir}/feed/rows").count() == 3 and spark.read.json(f"{workdir}/feed/failures").count() == 1
 
 
-def test_reprocess_equals_first_parse(spark, batch):
-    pages, records, _, landed = batch
-    key = stable_id(c("source_adapter"), c("source_record_id"))
-    stored = landed.select(
-        F.sha2("content", 256).alias("id"), key.alias("record_id"), "official_url", "fetched_at", "mime_type", F.lit("p").alias("storage_path"),
-        F.lit("1.4.0").alias("parser_version"), F.encode("content", "utf-8").alias("content"))
-    known = landed.select(key.alias("record_id"), "source_record_id", "official_url", F.lit(None).cast("string").alias("original_title"))
-    snapshots = publish.snapshot_rows(records, AS_OF).withColumn("id", c("payload_checksum"))
-    again, errors = ingest.reprocess("moj_auction", known, stored, snapshots, AS_OF)
-    names = ["source_record_id", "vehicle_type", "lot_size", "brand", "ends_at", "completeness"]
-    assert again.select(*names).exceptAll(records.select(*names)).count() == 0 and again.count() == 3 and errors.count() == 1
+def test_reprocess_job_equals_the_first_parse(spark, batch, workdir):
+    _, records, _, landed = batch
+    path = f"{workdir}/tables"
+    brands = seeds.brands(spark).withColumn("id", stable_id(c("canonical_name")))
+    models = seeds.models(spark).select(stable_id(c("brand")).alias("brand_id"), stable_id(c("model_code")).alias("id"), "canonical_name", "model_code")
+    arrived = landed.drop("source_adapter").withColumns({"http_status": F.lit(200), "filename": F.lit("a.html")})
+    first = jobs_.save_job(spark, "moj_auction", "來源", arrived, path, AS_OF, 1, brands, models, "1.3.0").first()
+    assert (first.parsed_count, first.changed_count) == (3, 3)
+    before = {name: df.count() for name, df in jobs_.saved(spark, path).items()}
+    contents, reads = counted(landed.select("checksum_sha256", F.encode("content", "utf-8").alias("content")), spark)
+    run = jobs_.reprocess_job(spark, "moj_auction", "來源", contents, path, AS_OF, 2, brands, models, "1.3.0").first()
+    assert reads.value == 4 and (run.discovered_count, run.parsed_count, run.changed_count) == (3, 3, 3)
+    tables = jobs_.saved(spark, path)
+    assert tables["snapshots"].groupBy("parser_version").count().orderBy("parser_version").collect() == [("1.3.0", 3), ("1.4.0", 3)]
+    same = {name: df.count() for name, df in tables.items()}
+    assert {n for n in before if before[n] != same[n]} == {"snapshots", "observations"}
+    payloads = tables["snapshots"].groupBy("record_id").agg(F.countDistinct("payload_checksum").alias("n")).select("n").distinct().collect()
+    assert [r.n for r in payloads] == [1]
+    art = tables["artifacts"].first()
+    assert (art.http_status, art.filename, art.extraction_status, art.run_id) == (200, "a.html", "PARSED", "1") and art.content_length > 100
+    assert tables["lots"].filter("completeness_groups like '{\"auction\":%'").count() == 3
+    assert tables["evidence"].select("parser_name").distinct().first()[0] == "moj_auction"
+    # three records have no artifact of another version
+    none = jobs_.reprocess_job(spark, "moj_auction", "來源", contents, path, AS_OF, 3, brands, models, "9.9").first()
+    assert none.discovered_count == 0
 
 
 def test_landed_files_and_materialized_listing(spark, workdir):

@@ -496,7 +496,7 @@ def surrogate_keys(spark, sf_dir):
 ENDPOINTS = """
 stored AS (SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_custkey % 40 AS BIGINT) AS source_id, 'https://h.gov.tw/' || c_custkey AS endpoint_url, 'LIST' AS kind FROM customer),
 incoming AS (SELECT CAST(o_orderkey + 1000000000 AS BIGINT) AS id, CAST(o_custkey % 40 AS BIGINT) AS source_id, 'https://h.gov.tw/' || o_custkey AS endpoint_url, 'DETAIL' AS kind
-  FROM orders WHERE o_orderkey % 10 = 0)"""
+  FROM orders)"""
 POLICIES = """
 stored AS (SELECT CAST(c_custkey AS BIGINT) AS source_id, 'ALLOW' AS decision, CAST('1994-06-01' AS TIMESTAMP) AS reviewed_at FROM customer),
 incoming AS (SELECT CAST(o_custkey AS BIGINT) AS source_id, 'P' || o_orderkey AS decision, CAST(o_orderdate AS TIMESTAMP) + o_orderkey * INTERVAL 1 SECOND AS reviewed_at FROM orders)"""

@@ -6,13 +6,16 @@ library and returns the facts; the oracle takes the same facts from the notice's
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from noticelake.operators import identity, quality
-from noticelake.plans import ingest, publish
+from noticelake.functions.text import stable_id
+from noticelake.operators import identity, quality, versioned
+from noticelake.plans import ingest, jobs, publish
 from noticelake.plans.notices import normalize
-from noticelake.session import cut_lineage
-from noticelake.sources import feeds, html, lists, manifests
+from noticelake.session import cut_lineage, shared_dir
+from noticelake.sources import feeds, html, lists, manifests, seeds
 
 from .derive import AS_OF, notices, with_notices
 from .registry import Registry
@@ -287,6 +290,59 @@ def public_projection(spark, sf_dir):
         "plate_number", "condition_summary", "bulk_lot", F.length("content_checksum").cast("bigint").alias("checksum_length"), "search_text")
 
 
+def arrived(spark, sf_dir, content: str):
+    """Landed pages as a collector hands them over."""
+    return landed(spark, sf_dir, content).withColumns({
+        "fetched_at": F.lit(AS_OF).cast("timestamp"), "mime_type": F.lit("text/html"), "checksum_sha256": F.sha2("content", 256), "http_status": F.lit(200)})
+
+
+# The second time the pages of n = 1 state another price.
+SEIZED_LATER = SEIZED.replace("核定底價：' || CAST(price AS STRING)", "核定底價：' || CAST(price + CASE WHEN n = 1 THEN 7 ELSE 0 END AS STRING)")
+
+
+@query("publish_job", with_notices(f"""
+SELECT 'run' AS part, CAST(run AS VARCHAR) AS id, count(*) AS discovered_count, count(*) FILTER (WHERE kind <> 11) AS parsed_count,
+  count(*) FILTER (WHERE kind <> 11 AND (run = 1 OR n = 1)) AS changed_count, count(*) FILTER (WHERE kind = 11) AS failed_count, 'PARTIAL' AS status,
+  NULL::BIGINT AS reserve_price, NULL AS plate_number FROM notices, (VALUES (1), (2)) r(run) GROUP BY run
+UNION ALL SELECT 'row', 'moj_auction-' || notice_id, NULL, NULL, NULL, NULL, NULL, price + CASE WHEN n = 1 THEN 7 ELSE 0 END,
+  CASE WHEN {LOCAL} >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY THEN substr(plate, 1, 5) || '***' END FROM notices WHERE kind <> 11"""))
+def publish_job(spark, sf_dir):
+    """Two runs of the publishing job over the same pages, some changed, and the public table they leave."""
+    path = f"{shared_dir(spark)}/publish-{uuid.uuid4().hex}"
+    runs = [
+        jobs.publish_job(spark, "moj_auction", "法務部查扣物集中拍賣", arrived(spark, sf_dir, content), path, AS_OF, number)
+        for number, content in ((1, SEIZED), (2, SEIZED_LATER))
+    ]
+    counters = ["discovered_count", "parsed_count", "changed_count", "failed_count"]
+    ran = runs[0].union(runs[1]).select(
+        F.lit("run").alias("part"), c("run_id").cast("string").alias("id"), *counters, "status", F.lit(None).cast("bigint").alias("reserve_price"),
+        F.lit(None).cast("string").alias("plate_number"))
+    rows = versioned.read_table(spark, f"{path}/public").select(
+        F.lit("row").alias("part"), "id", *[F.lit(None).cast("bigint").alias(n) for n in counters], F.lit(None).cast("string").alias("status"),
+        c("reserve_price").cast("bigint").alias("reserve_price"), "plate_number")
+    return ran.union(rows)
+
+
+@query("reprocess_job", with_notices("""
+SELECT notice_id, version AS parser_version, price AS reserve_price, CAST(n AS INTEGER) AS lot_size, CAST(year(day) - 1911 AS VARCHAR) || '年度變價字第' || notice_id || '號' AS case_number,
+  2::BIGINT AS versions FROM notices, (VALUES ('1.3.0'), ('1.4.0')) v(version) WHERE kind <> 11"""))
+def reprocess_job(spark, sf_dir):
+    """Pages saved under an older parser, parsed again under this one: two snapshots of one payload, all else as it was."""
+    path = f"{shared_dir(spark)}/reprocess-{uuid.uuid4().hex}"
+    brands, models = seeded_brands(spark)
+    pages = arrived(spark, sf_dir, SEIZED)
+    jobs.save_job(spark, "moj_auction", "法務部查扣物集中拍賣", pages, path, AS_OF, 1, brands, models, "1.3.0")
+    contents = pages.select("checksum_sha256", F.encode("content", "utf-8").alias("content"))
+    jobs.reprocess_job(spark, "moj_auction", "法務部查扣物集中拍賣", contents, path, AS_OF, 2, brands, models, "1.3.0")
+    t = jobs.saved(spark, path)
+    events = t["events"].select("record_id", c("id").alias("event_id"), "case_id", c("reserve_price").cast("bigint").alias("reserve_price"))
+    versions = t["snapshots"].groupBy("record_id", "payload_checksum").agg(F.count(F.lit(1)).alias("versions"))
+    return (
+        t["snapshots"].join(versions, ["record_id", "payload_checksum"]).join(t["records"].select(c("id").alias("record_id"), "source_record_id"), "record_id").join(events, "record_id")
+        .join(t["lots"].select("event_id", "lot_size"), "event_id").join(t["cases"].select(c("id").alias("case_id"), c("official_case_number").alias("case_number")), "case_id")
+        .select(c("source_record_id").cast("bigint").alias("notice_id"), "parser_version", "reserve_price", "lot_size", "case_number", "versions"))
+
+
 CHECK_NAMES = [
     "public_url_https", "public_plate_masked", "public_plate_retention", "public_no_photos", "public_text_personal_data", "public_text_role_name",
     "public_document_links",
@@ -337,18 +393,19 @@ def ingest_tables(spark, sf_dir):
     return table_counts(*saved_tables(spark, sf_dir))
 
 
-def saved_tables(spark, sf_dir):
-    from noticelake.sources import seeds
-    from noticelake.functions.text import stable_id
+def seeded_brands(spark):
+    brands = seeds.brands(spark).withColumn("id", stable_id(c("canonical_name")))
+    return brands, seeds.models(spark).select(stable_id(c("brand")).alias("brand_id"), stable_id(c("model_code")).alias("id"), "canonical_name", "model_code")
+
 
+def saved_tables(spark, sf_dir):
     pages = landed(spark, sf_dir, SEIZED)
     # Thirteen tables are derived from the records: parse once, then cut the lineage.
     records = cut_lineage(normalize("moj_auction", pages, AS_OF)[0].withColumn("source_adapter", F.lit("moj_auction")))
     artifacts = pages.select(
         F.lit("moj_auction").alias("source_adapter"), "source_record_id", "official_url", F.lit(AS_OF).cast("timestamp").alias("fetched_at"),
         F.lit("text/html").alias("mime_type"), F.sha2("content", 256).alias("checksum_sha256"), F.lit(0).alias("artifact_no"))
-    brands = seeds.brands(spark).withColumn("id", stable_id(c("canonical_name")))
-    models = seeds.models(spark).select(stable_id(c("brand")).alias("brand_id"), stable_id(c("model_code")).alias("id"), "canonical_name", "model_code")
+    brands, models = seeded_brands(spark)
     incoming = ingest.table_rows(records, artifacts, brands, models, AS_OF)
     return ingest.save({}, incoming), incoming
 
