@@ -81,14 +81,20 @@ def keyword_matches(keyword: str) -> Column:
     return c("search_text").contains(F.lower(safe_search_term(F.lit(keyword))))
 
 
-def keyword_matches_loosely(keyword: str) -> Column:
-    """The same ignoring all white space, over the seven displayed fields."""
+def squeezed(text: Column) -> Column:
+    """A text without any white space."""
+    return F.regexp_replace(text, r"(?U)\s", "")
+
+
+def loose_text() -> Column:
+    """The seven displayed fields in lower case without white space."""
     fields = ["name", "brand_name", "model_name", "plate_number", "official_title", "organization_name", "storage_location"]
-    shown = F.lower(F.array_join(F.filter(F.array(*fields), lambda x: x != ""), " "))
-    def squeeze(x):
-        return F.regexp_replace(x, r"(?U)\s", "")
+    return squeezed(F.lower(F.array_join(F.filter(F.array(*fields), lambda x: x != ""), " ")))
 
-    return squeeze(shown).contains(squeeze(F.lower(F.trim(F.lit(keyword)))))
+
+def keyword_matches_loosely(keyword: str) -> Column:
+    """The same ignoring all white space, over the seven displayed fields."""
+    return loose_text().contains(squeezed(F.lower(F.trim(F.lit(keyword)))))
 
 
 def within_days(as_of, days: float) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelake.functions.classify import displacement_band
-from noticelake.operators import listing, paging, presentation
+from noticelake.operators import listing, paging, presentation, read_model
 from noticelake.operators.filters import PRESETS, Filters, apply_filters, keyword_matches_loosely, showcase
 from noticelake.operators.query_params import normalize_queries
+from noticelake.session import cut_lineage, shared_dir
 
 from .derive import AS_OF, base, market, spark_sql, with_market
 from .registry import Registry
@@ -130,6 +134,66 @@ def active_page(spark, sf_dir):
     return brief(paging.page_rows(apply_filters(view(spark, sf_dir), FLAGSHIP, AS_OF), "auction_asc", 24))
 
 
+_MODELS: dict[tuple[str, str], str] = {}
+
+
+def model(spark: SparkSession, sf_dir: str) -> str:
+    """The read model, built once per session from a listing of which every fifth row was another one, and refreshed since."""
+    key = (spark._jsparkSession.sessionUUID(), sf_dir)
+    if key not in _MODELS:
+        path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+        rows, fifth = cut_lineage(view(spark, sf_dir)), c("id") % 5 == 0
+        stale = rows.filter(~fifth | (c("id") % 10 == 0)).withColumns({
+            "display_price": F.when(fifth, c("display_price") + 90_000).otherwise(c("display_price")), "completeness": F.when(fifth, F.lit(1)).otherwise(c("completeness")),
+            "auction_at": F.when(fifth, F.lit(None)).otherwise(c("auction_at")), "search_text": F.when(fifth, F.lit("brand#1 stale")).otherwise(c("search_text")),
+            "vehicle_type": F.when(fifth, F.lit("CAR")).otherwise(c("vehicle_type"))}).select(rows.columns)
+        read_model.write_model(spark, stale.union(rows.filter("id % 10 = 3").withColumn("id", -c("id")).select(rows.columns)), path)
+        read_model.refresh(spark, rows.filter(fifth), path, removed=rows.filter("id % 10 = 3").select((-c("id")).alias("id")))
+        _MODELS[key] = path
+    return _MODELS[key]
+
+
+@query("listing_model_page", listed(
+    f"SELECT {BRIEF} FROM listing WHERE NOT scrap AND NOT ended AND vehicle_type = 'CAR' AND display_price BETWEEN 50000 AND 400000 "
+    "ORDER BY ends_at ASC NULLS LAST, id LIMIT 25"))
+def model_page(spark, sf_dir):
+    return brief(read_model.page_rows(spark, model(spark, sf_dir), FLAGSHIP, AS_OF, "auction_asc", 24))
+
+
+@query("listing_model_keyset", listed(
+    f"SELECT {BRIEF} FROM listing WHERE NOT scrap AND (display_price < 300000 OR (display_price = 300000 AND id > 100) OR display_price IS NULL) "
+    "ORDER BY display_price DESC NULLS LAST, id LIMIT 101"))
+def model_keyset(spark, sf_dir):
+    cursor = paging.encode_cursor("price_desc", 300_000, 100)
+    return brief(read_model.page_rows(spark, model(spark, sf_dir), Filters(market_view="all"), AS_OF, "price_desc", 100, cursor))
+
+
+@query("listing_model_counts", listed("""
+SELECT 'active' AS view, count(*)::BIGINT AS total FROM listing WHERE NOT scrap AND NOT ended
+UNION ALL SELECT 'ended', count(*) FROM listing WHERE NOT scrap AND ended UNION ALL SELECT 'scrap', count(*) FROM listing WHERE scrap
+UNION ALL SELECT 'cars', count(*) FROM listing WHERE NOT scrap AND vehicle_type = 'CAR'
+UNION ALL SELECT 'priced', count(*) FROM listing WHERE NOT scrap AND NOT ended AND vehicle_type = 'CAR' AND display_price BETWEEN 50000 AND 400000"""))
+def model_counts(spark, sf_dir):
+    path = model(spark, sf_dir)
+    asked = {"active": Filters(), "ended": Filters(market_view="ended"), "scrap": Filters(market_view="scrap"),
+             "cars": Filters(market_view="all", vehicle_type="CAR"), "priced": FLAGSHIP}
+    counted = [read_model.count(spark, path, f, AS_OF).select(F.lit(name).alias("view"), "total") for name, f in asked.items()]
+    return reduce(DataFrame.union, counted)
+
+
+@query("listing_model_keyword", listed(f"SELECT {BRIEF} FROM listing WHERE contains(search_text, 'brand#1')"))
+def model_keyword(spark, sf_dir):
+    return brief(read_model.keyword_rows(spark, model(spark, sf_dir), " Brand#1 "))
+
+
+@query("listing_model_keyword_loose", listed(
+    "SELECT id, listing_entity, display_price, completeness, strftime(ends_at, '%Y-%m-%d %H:%M:%S') AS auction_at FROM listing "
+    "WHERE contains(regexp_replace(lower(concat_ws(' ', concat_ws(' ', brand_name, model_name), brand_name, model_name, plate_number, "
+    "official_title, organization_name, storage_location)), '\\s', '', 'g'), '公告1')"))
+def model_keyword_loose(spark, sf_dir):
+    return brief(read_model.keyword_rows(spark, model(spark, sf_dir), "公 告 1", loose=True))
+
+
 # Keyset pages: the position is a row of the full order that exists at every scale.
 KEYSET_AFTER = {"price_desc": ("display_price", 300_000), "price_asc": ("display_price", 120_000)}
 
