@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import listing, upsert, versioned
+from noticelake.operators import constraints, listing, upsert, versioned
 from noticelake.plans import ingest
 from noticelake.plans import jobs as jobs_
 from noticelake.plans.notices import normalize
@@ -120,6 +120,8 @@ def test_reprocess_job_equals_the_first_parse(spark, batch, workdir):
     assert (art.http_status, art.filename, art.extraction_status, art.run_id) == (200, "a.html", "PARSED", "1") and art.content_length > 100
     assert tables["lots"].filter("completeness_groups like '{\"auction\":%'").count() == 3
     assert tables["evidence"].select("parser_name").distinct().first()[0] == "moj_auction"
+    checked = constraints.violations({**tables, "brands": brands, "models": models}).collect()
+    assert len(checked) > 60 and [r for r in checked if r.violations] == []
     # three records have no artifact of another version
     none = jobs_.reprocess_job(spark, "moj_auction", "來源", contents, path, AS_OF, 3, brands, models, "9.9").first()
     assert none.discovered_count == 0

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert, versioned
+from noticelake.operators import constraints, dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert, versioned
 from noticelake.operators.completeness import completeness, has_text, is_known, never
 from noticelake.schemas import AUCTION_STATUSES, DISPOSAL_ORIGINS
 from noticelake.session import shared_dir
@@ -473,6 +473,57 @@ def quality_report(spark, sf_dir):
     )
 
 
+# Every table of the catalogue over the orders' keys. Remainders by 50 say which promise a row breaks: 6 a required column, 7 a domain, 8 a
+# range, 9 a key (the row comes twice), 10 a reference (13 a photo's lot), 11 a rule between columns.
+BROKEN = {"required": 6, "domain": 7, "range": 8, "unique": 9, "reference": 10}
+
+
+def seeded_table(keys, table, least):
+    k, text = c("k"), c("k").cast("string")
+
+    def broken(kind: str, bad, good):
+        return F.when(k % 50 == BROKEN[kind], bad).otherwise(good)
+
+    columns = {n: F.concat(F.lit(n), text) for key in table.keys for n in key}
+    columns |= {n: broken("reference", F.concat(F.lit("lost"), text), F.concat(F.lit("id"), text)) for n in table.references}
+    columns |= {n: broken("domain", F.lit("?"), F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))) for n, values in table.domains.items()}
+    columns |= {n: broken("range", F.lit(low - 1 if most is None or low else most + 1), F.lit(1)) for n, (low, most) in table.ranges.items()}
+    columns |= {n: broken("required", F.lit(None).cast("string"), columns.get(n, F.lit(n))) for n in table.required}
+    if "one_owner" in table.rules:
+        lost = F.concat(F.lit("lost"), text)
+        columns["lot_id"] = F.when(k % 50 == 11, F.concat(F.lit("id"), text)).when(k % 50 == 13, lost)
+        columns["vehicle_id"] = F.when(k % 50 != 13, columns["vehicle_id"])
+    if "pair" in table.rules:
+        left, right = table.references
+        other = F.concat(F.lit("id"), F.when(k == least[0], F.lit(least[1])).otherwise(F.lit(least[0])).cast("string"))
+        columns[right] = F.when(k % 50 == 11, columns[left]).when(k % 50 == 10, F.concat(F.lit("lost-"), text)).otherwise(other)
+    if "https" in table.rules:
+        columns["official_url"] = F.when(k % 50 == 11, "http://h.gov.tw/").otherwise("https://h.gov.tw/")
+    columns.setdefault("id", F.concat(F.lit("id"), text))
+    rows = keys.select("k", *[v.alias(n) for n, v in columns.items()])
+    return rows.union(rows.filter(k % 50 == BROKEN["unique"])).drop("k")
+
+
+def expected_violations() -> str:
+    """The counts that the remainders say, as SQL."""
+    out = []
+    for name, table in constraints.CATALOGUE.items():
+        for check in constraints.checks_of(name, table):
+            kind = check.rsplit(".", 1)[1]
+            where = f"o_orderkey % 50 = {BROKEN.get(kind, 11)}"
+            where = "o_orderkey % 50 = 13" if check == "photos.lot_id.reference" else where
+            out.append(f"SELECT '{check}' AS check_name, count(*) FILTER (WHERE {where}) AS violations FROM orders")
+    return " UNION ALL ".join(out)
+
+
+@query("constraint_report", expected_violations())
+def constraint_report(spark, sf_dir):
+    """Every declared promise, each broken by some rows."""
+    keys = base(spark, sf_dir, "orders").select(c("o_orderkey").alias("k"))
+    least = [r["k"] for r in keys.orderBy("k").limit(2).collect()]
+    return constraints.violations({name: seeded_table(keys, table, least) for name, table in constraints.CATALOGUE.items()})
+
+
 @query("seeded_organizations", with_notices("""
 SELECT place_text AS canonical_name, CASE WHEN place_text LIKE '臺灣%地方法院' THEN 'DISTRICT_COURT' ELSE 'GOVERNMENT_AGENCY' END AS organization_type, count(*) AS notices
 FROM notices GROUP BY 1, 2"""))

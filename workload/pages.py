@@ -354,6 +354,30 @@ def public_quality(spark, sf_dir):
     return quality.row_checks(public_rows(spark, sf_dir), quality.public_checks(AS_OF))
 
 
+BROKEN_KINDS = {
+    "public_url_https": "kind = 0", "public_plate_masked": "kind = 1", "public_plate_retention": "kind = 3", "public_no_photos": "kind = 4",
+    "public_text_personal_data": "kind IN (5, 6, 7)", "public_text_role_name": "kind = 8", "public_document_links": "kind = 9",
+}
+
+
+@query("public_quality_seeded", with_notices(" UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE {where}) AS violations FROM notices" for name, where in BROKEN_KINDS.items())))
+def public_quality_seeded(spark, sf_dir):
+    """Every promise of the public table broken by one kind of notice, and by no other."""
+    rows = notices(spark, sf_dir, f"""SELECT 'r' || CAST(notice_id AS STRING) AS source_record_id, CASE WHEN kind = 0 THEN 'http://h.gov.tw/x' ELSE 'https://h.gov.tw/x' END AS official_url,
+        CASE kind WHEN 1 THEN plate ELSE substr(plate, 1, 5) || '***' END AS plate_number, noun AS official_title,
+        CASE kind WHEN 3 THEN TIMESTAMP '{AS_OF}' - INTERVAL 31 DAY ELSE TIMESTAMP '{AS_OF}' END AS ends_at,
+        CASE kind WHEN 5 THEN '證號A1' || CAST(10000000 + who AS STRING) WHEN 6 THEN 'a' || CAST(who AS STRING) || '@mail.tw' WHEN 7 THEN '電話0912-345-' || CAST(100 + who % 900 AS STRING)
+          WHEN 8 THEN '車主：王小明' ELSE place_text END AS description, kind FROM notices""")
+    blank = F.lit(None).cast("string")
+    rows = rows.withColumns({
+        "photo_urls": F.when(c("kind") == 4, F.array(F.lit("https://h.gov.tw/p.jpg"))).otherwise(F.array().cast("array<string>")), "fee_notes": F.array(F.lit("費用")),
+        "documents": F.array(F.struct(F.when(c("kind") == 9, "https://h.gov.tw/a?m=a%40b.tw").otherwise("https://h.gov.tw/a.pdf").alias("url"))),
+        **{n: blank for n in quality.PUBLIC_TEXT_FIELDS if n not in rows.columns},
+    })
+    return quality.row_checks(rows, quality.public_checks(AS_OF))
+
+
 @query("public_redaction_backfill", with_notices(f"""
 SELECT 'pcc-' || CASE WHEN n = 1 THEN 'redacted-' || substr(md5('pcc:A1' || (10000000 + who)), 1, 20) ELSE CAST(notice_id AS VARCHAR) END AS id,
   CASE WHEN n IN (1, 2) THEN 'https://h.gov.tw/' ELSE 'https://h.gov.tw/x/' || notice_id END AS official_url,
