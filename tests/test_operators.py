@@ -267,3 +267,33 @@ def test_court_payload_keys(spark):
     (r,) = feeds.court_items(df).collect()
     assert r.source_record_id == "5" and r.official_url.endswith("filenm=a+b.pdf") and json.loads(r.metadata)["ttitle"] == "機車"
     assert df.select(feeds.result_total(c("content"))).first()[0] == 7
+
+
+# --- identity components and duplicate groups --------------------------------------------
+def test_identity_components_of_chains_and_random_links(spark):
+    draw = random.Random(11)
+    links = [(i, i + 1, "PLATE") for i in range(100, 140)] + [(draw.randrange(60), draw.randrange(60), draw.choice(["FRAME", "ENGINE", "OFFICIAL_LINK"])) for _ in range(45)]
+    links += [(500, 500, "PLATE"), (700, 600, "VIN")]
+    parent = {n: n for a, b, _ in links for n in (a, b)}
+
+    def root(n):
+        return n if parent[n] == n else root(parent[n])
+
+    for a, b, _ in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    kinds = {}
+    for a, b, kind in links:
+        kinds.setdefault(root(a), set()).add(kind)
+    linked = {n for a, b, _ in links if a != b for n in (a, b)}
+    got = identity.identity_components(spark.createDataFrame(links, "left_id long, right_id long, link_type string")).collect()
+    assert {r.vehicle_id: r.component_id for r in got} == {n: root(n) for n in linked}
+    assert all(set(r.signals) == kinds[r.component_id] and r.algorithm == identity.IDENTITY_ALGORITHM for r in got)
+
+
+def test_duplicates_show_their_own_score(spark):
+    """2 and 3 agree on all five signals, though 1 is the smallest of both and agrees with them on fewer."""
+    rows = [(1, "a", "m", 1, "x", "d1"), (2, "a", "m", 1, "x", "d2"), (3, "a", "m", 1, "x", "d2"), (4, "a", "m", 1, "y", "d3"), (5, "b", None, 1, "x", "d2"), (6, "a", "m", 2, "z", "d9")]
+    got = {r.vehicle_id: (r.group_id, r.signals, str(r.score), r.size) for r in identity.duplicate_groups(
+        spark.createDataFrame(rows, "vehicle_id int, brand string, model string, year int, location string, day string")).collect()}
+    assert got == {1: (1, "brand,model,year,location", "0.9000", 3), 2: (2, "brand,model,year,location,day", "1.0000", 2), 3: (2, "brand,model,year,location,day", "1.0000", 2)}

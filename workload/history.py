@@ -345,6 +345,42 @@ def duplicate_candidates(spark, sf_dir):
     return found.select("left_id", "right_id", c("score").cast("string").alias("score"), "matching_signals")
 
 
+@query("duplicate_groups", "WITH " + CANDIDATES + """,
+sets AS (
+  SELECT vehicle_id, 1.0 AS score, 'brand,model,year,location,day' AS signals, min(vehicle_id) OVER w AS group_id, count(*) OVER w AS size FROM goods WHERE brand IS NOT NULL
+    WINDOW w AS (PARTITION BY brand, model, year, location, day)
+  UNION ALL SELECT vehicle_id, 0.9, 'brand,model,year,location', min(vehicle_id) OVER w, count(*) OVER w FROM goods WHERE brand IS NOT NULL WINDOW w AS (PARTITION BY brand, model, year, location)
+  UNION ALL SELECT vehicle_id, 0.85, 'brand,model,location,day', min(vehicle_id) OVER w, count(*) OVER w FROM goods WHERE brand IS NOT NULL WINDOW w AS (PARTITION BY brand, model, location, day)
+  UNION ALL SELECT vehicle_id, 0.85, 'brand,model,year,day', min(vehicle_id) OVER w, count(*) OVER w FROM goods WHERE brand IS NOT NULL WINDOW w AS (PARTITION BY brand, model, year, day)
+)
+SELECT vehicle_id, group_id, signals, CAST(CAST(score AS DECIMAL(5, 4)) AS VARCHAR) AS score, size FROM sets WHERE size > 1
+QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY score DESC, signals) = 1""")
+def duplicate_groups(spark, sf_dir):
+    found = identity.duplicate_groups(spark_sql(spark, sf_dir, CANDIDATES, "SELECT * FROM goods"))
+    return found.select("vehicle_id", "group_id", "signals", c("score").cast("string").alias("score"), "size")
+
+
+# The four vehicles of an order are tied one to the next by frame, plate and lot; every third order's last one to its customer's first order.
+CHAIN = """
+chained AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS tied, min(o_orderkey) OVER (PARTITION BY o_custkey) AS head FROM orders)"""
+
+
+@query("identity_components", "WITH " + CHAIN + """,
+roots AS (SELECT k, CASE WHEN tied THEN head ELSE k END AS root FROM chained)
+SELECT k * 10 + i AS vehicle_id, root * 10 + 1 AS component_id,
+  'CASE_LOT,FRAME,' || CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY root) THEN 'OFFICIAL_LINK,' ELSE '' END || 'PLATE' AS signals
+FROM roots, (VALUES (1), (2), (3), (4)) v(i)""")
+def identity_components(spark, sf_dir):
+    keys = spark_sql(spark, sf_dir, CHAIN, "SELECT * FROM chained")
+    k, text = c("k"), c("k").cast("string")
+    pair = lambda kind, i: F.explode(F.array(*[F.struct(F.lit(kind).alias("identifier_type"), F.concat(F.lit(kind), text).alias("normalized_value"), (k * 10 + j).alias("vehicle_id")) for j in (i, i + 1)]))
+    identifiers = keys.select(pair("FRAME", 1).alias("x")).union(keys.select(pair("PLATE", 2).alias("x"))).select("x.*")
+    lots = keys.select(F.explode(F.array(k * 10 + 3, k * 10 + 4)).alias("vehicle_id"), F.concat(F.lit("C"), text).alias("case_number"), F.lit("1").alias("lot_number"))
+    official = keys.filter("tied").select((k * 10 + 4).alias("left_id"), (c("head") * 10 + 1).alias("right_id"))
+    found = identity.identity_components(identity.identity_links(identifiers, lots, official))
+    return found.select("vehicle_id", "component_id", F.array_join("signals", ",").alias("signals"))
+
+
 @query("brand_resolution", with_market("""
 SELECT v.id AS vehicle_id, b.id AS brand_id, m.id AS model_id FROM vehicles v
 LEFT JOIN (SELECT id, canonical_name AS name FROM brands UNION ALL SELECT id, 'Brand#' || id FROM brands) b ON b.name = v.original_brand
