@@ -77,7 +77,11 @@ def replacements(identifiers: Column) -> Column:
 
 
 def replace_known(c: Column, pairs: Column) -> Column:
-    """Replace each known identifier as a whole word, ignoring case."""
+    """Replace each known identifier as a whole word, ignoring case.
+
+    Every row has its own identifiers, so their patterns are compiled anew for each. A plain search comes first: most texts hold none of
+    them, and need no pattern.
+    """
 
     def step(acc: Column, pair: Column) -> Column:
         value = pair["value"]
@@ -85,7 +89,8 @@ def replace_known(c: Column, pairs: Column) -> Column:
         left = F.when(value.rlike("^[A-Za-z0-9]"), "(?<![A-Za-z0-9])").otherwise("")
         right = F.when(value.rlike("[A-Za-z0-9]$"), "(?![A-Za-z0-9])").otherwise("")
         literal = F.regexp_replace(pair["replacement"], r"([\\$])", r"\\$1")
-        return F.regexp_replace(acc, F.concat(F.lit("(?i)"), left, quoted, right), literal)
+        replaced = F.regexp_replace(acc, F.concat(F.lit("(?i)"), left, quoted, right), literal)
+        return F.when(F.contains(F.lower(acc), F.lower(value)), replaced).otherwise(acc)
 
     return F.aggregate(pairs, c, step)
 
