@@ -10,7 +10,7 @@ from noticelake.functions.text import stable_id
 from noticelake.operators import constraints, dedupe, evidence, identity, listing, quality, registry, retention, runs, upsert, versioned
 from noticelake.operators.completeness import completeness, has_text, is_known, never
 from noticelake.schemas import AUCTION_STATUSES, DISPOSAL_ORIGINS
-from noticelake.session import shared_dir
+from noticelake.session import cut_lineage, shared_dir
 from noticelake.sources import seeds
 
 from .derive import AS_OF, base, market, notices, spark_sql, with_market, with_notices
@@ -421,6 +421,20 @@ def retention_plan(spark, sf_dir):
     return plan.select("id", F.date_format("retention_until", "yyyy-MM-dd HH:mm:ss").alias("retention_until"))
 
 
+@query("retention_tombstones", with_market("""
+SELECT a.id AS artifact_id, '12-month private artifact retention expired' AS reason, 0::BIGINT AS still_due
+FROM kept_artifacts a LEFT JOIN auction_events e ON e.record_id = a.record_id
+WHERE coalesce(e.ends_at, a.fetched_at) + INTERVAL 12 MONTH <= TIMESTAMP '1998-06-01 00:00:00'""", RETAINED))
+def retention_tombstones(spark, sf_dir):
+    """Tombstones of all that is due; once they are kept, nothing is due any more."""
+    artifacts = spark_sql(spark, sf_dir, RETAINED, "SELECT * FROM kept_artifacts")
+    dated = cut_lineage(retention.backfill_deadlines(artifacts, market(spark, sf_dir)["events"]))
+    none = dated.select(c("id").alias("artifact_id")).limit(0)
+    made = retention.tombstones_for(retention.retention_plan(dated, none, AS_OF), AS_OF)
+    again = retention.retention_plan(dated, made, AS_OF).select(c("id").alias("artifact_id"), F.lit(1).cast("bigint").alias("still_due"))
+    return made.join(again, "artifact_id", "left").select("artifact_id", "reason", F.coalesce("still_due", F.lit(0).cast("bigint")).alias("still_due"))
+
+
 # --- completeness, history, documents, quality -------------------------------------------------------------
 @query("completeness", with_market("""
 SELECT id, overall, i AS identity, a AS auction, k AS condition FROM (SELECT *, CAST(round_even(i * 0.2::DOUBLE + a * 0.25::DOUBLE + k * 0.15::DOUBLE + r * 0.2::DOUBLE + 0 * 0.1::DOUBLE + m * 0.1::DOUBLE, 0) AS INTEGER) AS overall

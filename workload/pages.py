@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import stable_id
-from noticelake.operators import identity, quality, versioned
+from noticelake.operators import filters, identity, quality, versioned
 from noticelake.plans import ingest, jobs, publish
 from noticelake.plans.notices import normalize
 from noticelake.session import cut_lineage, shared_dir
@@ -379,11 +379,13 @@ def public_quality_seeded(spark, sf_dir):
 
 
 @query("public_redaction_backfill", with_notices(f"""
+SELECT id, official_url, official_title, note, plate_number, photos, documents, md5(concat_ws('|', 'pcc', substr(id, 5), official_url, official_title, plate_number, '["' || note || '"]', '[]',
+  CASE WHEN documents = 0 THEN '[]' ELSE '[{{"label":"官方附件","url":"https://h.gov.tw/a.pdf"}}]' END, '{AS_OF}')) AS content_checksum FROM (
 SELECT 'pcc-' || CASE WHEN n = 1 THEN 'redacted-' || substr(md5('pcc:A1' || (10000000 + who)), 1, 20) ELSE CAST(notice_id AS VARCHAR) END AS id,
   CASE WHEN n IN (1, 2) THEN 'https://h.gov.tw/' ELSE 'https://h.gov.tw/x/' || notice_id END AS official_url,
   '車主：已隱去，牌照' || substr(plate, 1, 5) || '***' AS official_title, '電話聯絡電話已隱藏' AS note,
   CASE WHEN {LOCAL} >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY THEN substr(plate, 1, 5) || '***' END AS plate_number, 0::BIGINT AS photos,
-  CASE WHEN n = 3 THEN 0 ELSE 1 END::BIGINT AS documents, 32::BIGINT AS checksum_length FROM notices"""))
+  CASE WHEN n = 3 THEN 0 ELSE 1 END::BIGINT AS documents FROM notices) x"""))
 def redaction_backfill(spark, sf_dir):
     rows = notices(spark, sf_dir, """SELECT 'pcc' AS source_adapter, CASE WHEN n = 1 THEN 'A1' || CAST(10000000 + who AS STRING) ELSE CAST(notice_id AS STRING) END AS source_record_id,
         CASE n WHEN 1 THEN 'https://h.gov.tw/x?id=A1' || CAST(10000000 + who AS STRING) WHEN 2 THEN 'https://h.gov.tw/p/' || plate
@@ -402,7 +404,14 @@ def redaction_backfill(spark, sf_dir):
     out = publish.redact_public_table(table, AS_OF)
     return out.select(
         "id", "official_url", "official_title", F.get("fee_notes", F.lit(0)).alias("note"), "plate_number", F.size("photo_urls").cast("bigint").alias("photos"),
-        F.size("documents").cast("bigint").alias("documents"), F.length("content_checksum").cast("bigint").alias("checksum_length"))
+        F.size("documents").cast("bigint").alias("documents"), "content_checksum")
+
+
+@query("public_visible", with_notices("SELECT notice_id, noun AS official_title FROM notices WHERE n <> 2 AND kind <> 11"))
+def public_visible(spark, sf_dir):
+    """What anonymous readers see: active rows; an unknown state is none."""
+    rows = notices(spark, sf_dir, "SELECT notice_id, noun AS official_title, CASE WHEN kind = 11 THEN NULL ELSE n <> 2 END AS active FROM notices")
+    return filters.visible(rows).select("notice_id", "official_title")
 
 
 # --- relational tables of a batch ----------------------------------------------------------------
