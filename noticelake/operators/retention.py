@@ -19,11 +19,14 @@ def backfill_deadlines(artifacts: DataFrame, events: DataFrame) -> DataFrame:
     return artifacts.join(ends, "record_id", "left").withColumn("retention_until", deadline).drop("_ends")
 
 
-def retention_plan(artifacts: DataFrame, tombstones: DataFrame, as_of) -> DataFrame:
-    """Expired artifacts without a tombstone. Order by (retention_until, id) when listing them."""
+def retention_plan(artifacts: DataFrame, tombstones: DataFrame, as_of, within: tuple[str, ...] = ()) -> DataFrame:
+    """Expired artifacts without a tombstone. Order by (retention_until, id) when listing them.
+
+    ``within``: columns of both frames, where an id is unique only beside them.
+    """
     due = artifacts.filter(c("retention_until") <= instant(as_of))
-    buried = tombstones.select(c("artifact_id").alias("id")).distinct()
-    return due.join(buried, "id", "left_anti").select("id", "storage_path", "checksum_sha256", "retention_until")
+    buried = tombstones.select(c("artifact_id").alias("id"), *within).distinct()
+    return due.join(buried, ["id", *within], "left_anti").select("id", "storage_path", "checksum_sha256", "retention_until")
 
 
 def tombstones_for(plan: DataFrame, as_of) -> DataFrame:

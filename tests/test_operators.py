@@ -236,6 +236,16 @@ def test_resolved_evidence_prefers_authority(spark):
     assert [r.id for r in evidence.resolved_evidence(rows).collect()] == [2]
 
 
+def test_a_tombstone_buries_only_its_own_artifact(spark):
+    """Ids that are unique only beside another column: the tombstone of one must not bury the other."""
+    due = spark.createDataFrame([(7, 1, "p", "x", "1997-01-01 00:00:00"), (7, 2, "p", "y", "1997-01-01 00:00:00")],
+                                "id long, record_id long, storage_path string, checksum_sha256 string, retention_until string")
+    due = due.withColumn("retention_until", c("retention_until").cast("timestamp"))
+    tombstones = spark.createDataFrame([(7, 1)], "artifact_id long, record_id long")
+    assert [r.checksum_sha256 for r in retention.retention_plan(due, tombstones, "1998-06-01 00:00:00", within=("record_id",)).collect()] == ["y"]
+    assert retention.retention_plan(due, tombstones, "1998-06-01 00:00:00").count() == 0
+
+
 def test_retention_and_plates(spark):
     rows = spark.createDataFrame([("a", "2026-08-12"), ("b", "2026-08-09"), ("c", "2026-07-01"), ("d", None)], "plate_number string, d string").withColumn(
         "ends_at", F.to_timestamp("d"))

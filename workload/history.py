@@ -417,7 +417,8 @@ def retention_plan(spark, sf_dir):
     artifacts = spark_sql(spark, sf_dir, RETAINED, "SELECT * FROM kept_artifacts")
     dated = retention.backfill_deadlines(artifacts, market(spark, sf_dir)["events"])
     buried = artifacts.join(base(spark, sf_dir, "orders").filter(c("o_orderstatus") == "P").select(c("o_orderkey").alias("record_id")), "record_id", "left_semi")
-    plan = retention.retention_plan(dated, buried.select(c("id").alias("artifact_id")), AS_OF)
+    # from part 100,000 on, ids of other lines and orders run into each other
+    plan = retention.retention_plan(dated, buried.select(c("id").alias("artifact_id"), "record_id"), AS_OF, within=("record_id",))
     return plan.select("id", F.date_format("retention_until", "yyyy-MM-dd HH:mm:ss").alias("retention_until"))
 
 
