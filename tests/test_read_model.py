@@ -89,3 +89,12 @@ def test_keywords_equal_a_scan(spark, model, keyword):
     for loose, check in ((False, keyword_matches(keyword)), (True, keyword_matches_loosely(keyword))):
         got = sorted(r.id for r in read_model.keyword_rows(spark, path, keyword, loose).collect())
         assert got == sorted(r.id for r in named.filter(check).collect()), (keyword, loose)
+
+
+def test_postings_name_ranges_not_listings(spark, model):
+    """Their number follows the distinct runs: it does not grow with the listings that hold them."""
+    path, _ = model
+    postings = versioned.read_buckets(spark, f"{path}/postings", merge=False)
+    assert "id" not in postings.columns
+    writes = len(versioned.manifest(spark, f"{path}/postings")["parts"])
+    assert postings.count() <= writes * postings.select("kind", "gram", "place").distinct().count()
