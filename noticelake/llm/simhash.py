@@ -7,10 +7,10 @@ lies dense and is joined by flipping bits. A small shard becomes a BK-tree (chil
 follows only edges within the radius. Trees stay in the task that owns the shard: sent to all tasks, they would grow with
 the data.
 
-``near_duplicates`` is for larger differences (five-word shingles, Jaccard similarity 0.8 or more): shards are pairs of
-min-hashes. First each text is tried with its nearest ones in a part of the shard, which joins groups of copies cheaply; then
-all pairs of a shard whose texts are not in one group yet are tried, in blocks against blocks. Pairs are left out by a bound alone that no
-similar pair exceeds (odd sketches of the distinct shingles), and every link is verified on the texts' shingle sets.
+``near_duplicates`` is for larger differences (five-word shingles, Jaccard similarity 0.8 or more, which is about 10 bits): shards are
+pairs of min-hashes, each shard's fingerprints go into BK-trees, and each text is tried with those nearest to it in its tree. An exact
+check follows: all pairs of a shard whose texts these links have not joined yet are tried, in blocks against blocks. Pairs are left out by
+a bound alone that no similar pair exceeds (odd sketches of the distinct shingles), and every link is verified on the texts' shingle sets.
 
 Defined cases: a text with fewer words than a shingle is one shingle; a null or empty text has fingerprint zero, which is
 linked like any other; repeated rows and ids fall into one group; a null doc_id has no component of its own; an empty table
@@ -19,6 +19,7 @@ gives no rows; further columns take no part (near_duplicates keeps them).
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
@@ -115,6 +116,20 @@ class BKTree:
             todo += [c for edge, c in self.children[at].items() if d - radius <= edge <= d + radius]
         return found
 
+    def nearest(self, value: int, k: int) -> list[tuple[int, int]]:
+        """(distance, index) of the k values nearest to this one, ties to the earlier; the radius shrinks to the worst of those found."""
+        found, todo = [], [(0, 0)] if self.values else []
+        while todo:
+            bound, at = todo.pop()
+            if len(found) == k and bound > found[-1][0]:
+                continue
+            d = (self.values[at] ^ value).bit_count()
+            insort(found, (d, at))
+            del found[k:]
+            # the most promising edge is followed first
+            todo += sorted(((abs(edge - d), c) for edge, c in self.children[at].items()), reverse=True)
+        return found
+
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[bool, list[np.ndarray]]]:
     """Batches sorted by keys, as (starts a new group, columns) of stretches that belong to one group."""
@@ -252,7 +267,9 @@ def odd_sketches(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch], size: int, bands: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in pieces(batch.column("text")):
-            hashes, first = _distinct(*shingle_hashes(Words(data, offsets, lower=True), size))
+            hashes, first = shingle_hashes(Words(data, offsets, lower=True), size)
+            fps = pa.array(simhash(hashes, first).view(np.int64))
+            hashes, first = _distinct(hashes, first)
             keys = np.zeros((len(first) - 1, bands), np.uint64)
             full = np.flatnonzero(np.diff(first))
             for k in range(2 * bands):
@@ -260,8 +277,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int, bands: int) -> Iterato
                 keys[full, k // 2] = mix(keys[full, k // 2] * np.uint64(31) + least)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel()))
             sketches = pa.array([x.tobytes() for x in odd_sketches(hashes, first)], pa.binary())
-            columns = [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key")), pa.array(np.diff(first)), sketches, lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n", "sketch", "bands"])
+            columns = [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key")), pa.array(np.diff(first)), fps, sketches, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n", "fp", "sketch", "bands"])
 
 
 def _shards(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -309,18 +326,24 @@ def _packed(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Recor
 
 
 def _nearest(batches: Iterator[pa.RecordBatch], apart: float) -> Iterator[pa.RecordBatch]:
-    """Cells sorted by (band, key, salt) to pairs of each text and the NEAREST possible ones of the smaller ids in its cell."""
+    """Cells sorted by (band, key, salt, id) to pairs of each text and those of the NEAREST fingerprints among the smaller ids in its
+    cell that are possible. Texts of one fingerprint are one node of the cell's BK-tree; each is tried with the last few before it."""
 
     def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for cell in _shards(batches, ["band", "key", "salt"]):
-            ids = cell["id"]
-            if len(ids) < 2:
-                continue
-            for lo, bits, possible in _possible(cell, cell, apart):
-                bits = np.where(possible & (ids[lo : lo + len(bits), None] > ids[None]), bits, 1 << 30)
-                near = np.argsort(bits, axis=1, kind="stable")[:, :NEAREST]
-                row, k = np.nonzero(np.take_along_axis(bits, near, axis=1) < 1 << 30)
-                yield ids[lo + row], ids[near[row, k]]
+            tree, at, members, pairs = BKTree(), {}, [], []
+            for i, fp in enumerate(cell["fp"].view(np.uint64).tolist()):
+                near = [j for _, node in tree.nearest(fp, NEAREST) for j in members[node]]
+                pairs += [(i, j) for j in near[:NEAREST]]
+                if fp not in at:
+                    at[fp] = tree.add(fp)
+                    members.append([])
+                members[at[fp]] = [i, *members[at[fp]]][:NEAREST]
+            if pairs:
+                x, y = np.array(pairs).T
+                n, sketch = cell["n"], cell["sketch"]
+                possible = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int32) <= apart * (n[x] + n[y]) + 1e-6
+                yield cell["id"][x[possible]], cell["id"][y[possible]]
 
     return _packed(found())
 
@@ -376,24 +399,24 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     sets have at least this Jaccard similarity.
 
     docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
-    min-hashes with probability 0.9997. The first round tries each text with its nearest ones, in salted parts of the shards.
-    The second one tries all other pairs of a shard that the first round's links have not joined.
+    min-hashes with probability 0.9997. The first round tries each text with the nearest fingerprints, found in BK-trees of salted parts of
+    the shards. The second one tries all other pairs of a shard that the first round's links have not joined.
     """
     scratch = Scratch()
     apart = (1 - similarity) / (1 + similarity)
     rows = docs.select("doc_id", "text", "text_key")
-    made = rows.mapInArrow(partial(_sketch, size=size, bands=bands), "doc_id long, text_key string, n long, sketch binary, bands array<long>")
+    made = rows.mapInArrow(partial(_sketch, size=size, bands=bands), "doc_id long, text_key string, n long, fp long, sketch binary, bands array<long>")
     made = scratch.stored(made.join(firsts, ["doc_id", "text_key"], "left_semi").drop("text_key").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"))
     sketches = made.select("id", "n", "sketch")
     rows = made.select(F.posexplode("bands").alias("band", "key"), "id")
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     rows = scratch.stored(rows.join(shared, ["band", "key"]))
-    cells = rows.withColumn("salt", F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("texts") / CELL))).join(sketches, "id").select("band", "key", "salt", "id", "n", "sketch")
-    cells = cells.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt")
+    cells = rows.withColumn("salt", F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("texts") / CELL))).join(made.select("id", "n", "fp", "sketch"), "id").select("band", "key", "salt", "id", "n", "fp", "sketch")
+    cells = cells.repartition("band", "key", "salt").sortWithinPartitions("band", "key", "salt", "id")
     tried = scratch.stored(cells.mapInArrow(partial(_nearest, apart=apart), "a long, b long").distinct())
     links = _verified(docs, firsts, tried, size, similarity)
 
-    # in smaller shards the first round has tried all pairs
+    # in smaller shards a text's nearest ones are all others
     groups = components(links).withColumnRenamed("node", "id")
     rows = scratch.stored(rows.filter(F.col("texts") > NEAREST + 1).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
     open_ = rows.groupBy("band", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("band", "key")

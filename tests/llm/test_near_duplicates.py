@@ -1,6 +1,7 @@
 """Near-duplicates against all pairs, where shards are large or texts repeat their lines."""
 
 import numpy as np
+import pyarrow as pa
 
 from noticelake.llm import simhash
 
@@ -82,3 +83,34 @@ def test_a_repeated_id_takes_no_other_documents_text_along(spark):
         rows = simhash.near_duplicates(spark.createDataFrame([(1, one), (1, two), (2, two), (3, one)], "doc_id long, text string")).collect()
         assert {r.text for r in rows} == {one, two}
         assert [r.doc_id for r in rows].count(1) == 1
+
+
+def test_trees_give_the_nearest_fingerprints():
+    rng = np.random.default_rng(5)
+    values = [int(x) for x in rng.integers(0, 2**63, 300)]
+    values += [v ^ (1 << int(b)) ^ (1 << int(c)) for v, b, c in zip(values[:100], rng.integers(0, 63, 100), rng.integers(0, 63, 100), strict=True)]
+    values = list(dict.fromkeys(values))
+    tree = simhash.BKTree()
+    for at, value in enumerate(values):
+        want = sorted(((v ^ value).bit_count(), i) for i, v in enumerate(values[:at]))[:4]
+        assert tree.nearest(value, 4) == want
+        assert tree.add(value) == at
+
+
+def test_links_between_near_copies_come_from_the_trees(spark, monkeypatch):
+    # 40 pairs at 0.9, about 5 bits apart: without the check of the rest all are found, and each text is looked up in a tree
+    rng, rows = np.random.default_rng(6), []
+    for i in range(40):
+        text = [f"t{i}x{rng.integers(10**6)}" for _ in range(200)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text[:190], *(f"c{i}w{k}" for k in range(10))]))]
+    cell = sorted(rows)
+    docs = [t for _, t in cell]
+    (batch,) = simhash._sketch(iter([pa.RecordBatch.from_pydict({"doc_id": range(80), "text_key": docs, "text": docs})]), 5, 8)
+    one = pa.array(np.zeros(80, np.int64))
+    batch = pa.RecordBatch.from_arrays([one, one, one, *(batch.column(k) for k in ("doc_id", "n", "fp", "sketch"))], ["band", "key", "salt", "id", "n", "fp", "sketch"])
+    looked, nearest = [], simhash.BKTree.nearest
+    monkeypatch.setattr(simhash.BKTree, "nearest", lambda self, value, k: looked.append(value) or nearest(self, value, k))
+    pairs = {(r["a"], r["b"]) for out in simhash._nearest(iter([batch]), 0.2 / 1.8) for r in out.to_pylist()}
+    assert pairs >= {(2 * i + 1, 2 * i) for i in range(40)}
+    assert len(looked) == 80
+    assert found(spark, rows) == kept(rows) == list(range(0, 80, 2))
