@@ -6,7 +6,7 @@ from noticelake.operators import constraints, listing, upsert, versioned
 from noticelake.plans import ingest
 from noticelake.plans import jobs as jobs_
 from noticelake.plans.notices import normalize
-from noticelake.session import cut_lineage
+from noticelake.session import configure, cut_lineage
 from noticelake.sources import artifacts as art
 from noticelake.sources import seeds
 from noticelake.streaming import jobs
@@ -212,3 +212,27 @@ def test_page_is_read_once_whatever_is_filtered(spark, batch):
     records, _ = normalize("pcc", pages, AS_OF)
     plan = records.filter((c("status") == "SOLD") & (c("lot_size") > 3))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_batch_is_dealt_once_and_stored_keys_keep_their_rows(spark, workdir, monkeypatch):
+    path = f"{workdir}/once"
+    kinds = "a string, b int, note string"
+    first = spark.createDataFrame([("x", 1, "old"), (None, 2, "old"), ("x", 1, "old")], kinds)
+    second = spark.createDataFrame([("x", 1, "new"), (None, 2, "new"), ("y", None, "new"), ("y", None, "new"), (None, None, "new")], kinds)
+
+    def dealt_again(*_):
+        raise AssertionError("rows that one aggregation has dealt are dealt again")
+
+    monkeypatch.setattr(type(first), "repartition", dealt_again)
+    assert jobs_.insert_new(spark, path, first, ["a", "b"], ("s", 1)) == 2
+    assert jobs_.insert_new(spark, path, second, ["a", "b"], ("s", 2)) == 2
+    assert jobs_.insert_new(spark, path, second, ["a", "b"], ("s", 2)) == 0
+    assert jobs_.insert_new(spark, path, second, ["a", "b"], ("s", 3)) == 0
+    rows = [tuple(r) for r in versioned.read_table(spark, path).collect()]
+    assert sorted(rows, key=str) == sorted([("x", 1, "old"), (None, 2, "old"), ("y", None, "new"), (None, None, "new")], key=str)
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    assert configure(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    rows = spark.range(1000).groupBy((c("id") % 7).alias("k")).count()
+    assert sorted(rows.collect()) == sorted(rows.collect())
