@@ -394,9 +394,9 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, size: int, s
     return links
 
 
-def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity: float = 0.8, bands: int = BANDS) -> DataFrame:
-    """Verified links (a, b), enough to join all documents that reach each other over pairs that share a shard and whose shingle
-    sets have at least this Jaccard similarity.
+def similar_groups(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity: float = 0.8, bands: int = BANDS) -> DataFrame:
+    """(node, component) of all documents that reach others over pairs that share a shard and whose shingle sets have at least
+    this Jaccard similarity; component is the smallest of them.
 
     docs: doc_id, text, text_key; firsts: the (unique) doc_id and text_key that count. A pair at 0.8 shares one of 8 pairs of
     min-hashes with probability 0.9997. The first round tries each text with the nearest fingerprints, found in BK-trees of salted parts of
@@ -417,8 +417,8 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     links = _verified(docs, firsts, tried, size, similarity)
 
     # in smaller shards a text's nearest ones are all others
-    groups = components(links).withColumnRenamed("node", "id")
-    rows = scratch.stored(rows.filter(F.col("texts") > NEAREST + 1).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    groups = components(links)
+    rows = scratch.stored(rows.filter(F.col("texts") > NEAREST + 1).join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     open_ = rows.groupBy("band", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("band", "key")
     blocks = F.ceil(F.col("texts") / BLOCK)
     rows = rows.join(open_, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("band", "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -427,9 +427,12 @@ def similar_links(docs: DataFrame, firsts: DataFrame, size: int = 5, similarity:
     rows = rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
     rest = scratch.stored(rows.mapInArrow(partial(_across, apart=apart), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = links.union(_verified(docs, firsts, rest, size, similarity))
+        links = _verified(docs, firsts, rest, size, similarity)
+        if not links.isEmpty():
+            # the groups found before are stars already
+            groups = components(links.union(groups.select("node", "component")))
     scratch.drop()
-    return links
+    return groups
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -440,8 +443,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     keyed = _hashed(docs)
     firsts = keyed.groupBy("doc_id").agg(F.min("text_key").alias("text_key")).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
     firsts = stored(firsts)
-    links = similar_links(keyed, firsts, size, similarity)
-    groups = components(links)
+    groups = similar_groups(keyed, firsts, size, similarity)
     dropped = groups.filter("node <> component").select(F.col("node").alias("doc_id"))
     of, key = fresh(docs.columns, "_of", "_key")
     kept = stored(firsts.join(dropped, "doc_id", "left_anti").select(F.col("doc_id").alias(of), F.col("text_key").alias(key)))

@@ -114,3 +114,11 @@ def test_links_between_near_copies_come_from_the_trees(spark, monkeypatch):
     assert pairs >= {(2 * i + 1, 2 * i) for i in range(40)}
     assert len(looked) == 80
     assert found(spark, rows) == kept(rows) == list(range(0, 80, 2))
+
+
+def test_groups_are_made_once_where_nothing_remains_apart(spark, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(60))
+    made, components = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: made.append(1) or components(links))
+    assert found(spark, [(1, text), (2, f"{text} end"), (3, "other words")]) == [1, 3]
+    assert len(made) == 1
