@@ -36,7 +36,8 @@ from .text import Words, pieces, sums
 
 DEPTH = 5
 BLOCK = 20 << 20
-PART = 2 << 20
+#: Bytes of texts worked on at once: where keys are counted, every part is merged with those before; where texts are scored, parts only cost memory.
+PART, SCORED = 2 << 20, 1 << 19
 #: Stands before a text and is its end mark; no word and no blank holds it.
 END = 10
 WORD, GRAM = 0, 1
@@ -49,14 +50,17 @@ def byte_grams(words: Words, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray
     sizes = np.diff(bounds)
     n = len(sizes)
     buffer = np.full(len(spaced) + n * (depth + 1), END, np.uint8)
-    doc = np.repeat(np.arange(n), sizes)
-    buffer[np.arange(len(spaced)) + (doc + 1) * depth + doc] = spaced
+    # in place: a part's numbers take eight times its bytes, each
+    place = np.repeat(np.arange(n) * (depth + 1) + depth, sizes)
+    place += np.arange(len(spaced))
+    buffer[place] = spaced
+    del place
     first = np.concatenate([[0], np.cumsum(sizes + 1)])
     at = np.arange(first[-1]) + np.repeat((np.arange(n) + 1) * depth, sizes + 1)
-    wide = buffer.astype(np.uint64)
     grams = np.zeros(len(buffer), np.uint64)
     for k in range(depth + 1):
-        grams[depth:] = (grams[depth:] << np.uint64(8)) | wide[k : len(buffer) - depth + k] if len(buffer) else 0
+        grams[depth:] <<= np.uint64(8)
+        grams[depth:] |= buffer[k : len(buffer) - depth + k]
     return grams[at], first
 
 
@@ -78,11 +82,11 @@ def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndar
     return _merged([some, others], [n, np.zeros(len(others), np.int64)])
 
 
-def _parts(block: pa.Table):
+def _parts(block: pa.Table, size: int):
     """A block's texts, some at a time: (from row, to row, words, grams, each text's first gram and one end)."""
     base = 0
     for chunk in block["text"].chunks:
-        for lo, hi, data, offsets in pieces(chunk, PART):
+        for lo, hi, data, offsets in pieces(chunk, size):
             words = Words(data, offsets, lower=True)
             yield base + lo, base + hi, words, *byte_grams(words)
         base += len(chunk)
@@ -92,7 +96,7 @@ def _block_keys(key: tuple, block: pa.Table) -> pa.Table:
     """A block's distinct keys in order. Parts are merged as they come, so that a block's own grams are never held together."""
     learned = ~np.asarray(block["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
     found = [_merged([], []), _merged([], [])]
-    for lo, hi, words, grams, first in _parts(block):
+    for lo, hi, words, grams, first in _parts(block, PART):
         for k, (keys, each) in enumerate(((words.hashes(), words.counts), (grams, np.diff(first)))):
             some, n = _counted(keys, np.repeat(learned[lo:hi], each))
             found[k] = _merged([found[k][0], some], [found[k][1], n])
@@ -261,6 +265,7 @@ def _score(key: tuple, block: pa.Table, values: pa.Table, tokens: int, kinds: in
         mine = kind == which
         order = np.argsort(keys[mine].view(np.uint64))
         own[which] = keys[mine].view(np.uint64)[order], value[mine][order]
+    del kind, keys, value, mine, order
 
     def look_up(which: int, wanted: np.ndarray) -> np.ndarray:
         known, worth = own[which]
@@ -271,7 +276,7 @@ def _score(key: tuple, block: pa.Table, values: pa.Table, tokens: int, kinds: in
         return worth[at]
 
     unit, columns = float(tokens + kinds + 1), []
-    for _, _, words, grams, first in _parts(block):
+    for _, _, words, grams, first in _parts(block, SCORED):
         counts = look_up(WORD, words.hashes())
         base = sums(np.log10((counts + 1) / unit), words.first) + math.log10((ends + 1) / unit)
         columns.append((words.counts + 1, sums(counts > 0, words.first) + (ends > 0), base, sums(look_up(GRAM, grams), first), np.diff(first)))
