@@ -314,6 +314,22 @@ def test_identity_components_of_chains_and_random_links(spark):
     assert all(set(r.signals) == kinds[r.component_id] and r.algorithm == identity.IDENTITY_ALGORITHM for r in got)
 
 
+def test_identity_components_read_their_links_once(spark):
+    """Links may be costly to find; before, they were found for the rounds and again for the signals."""
+    links = [(10, 11, "FRAME"), (11, 12, "PLATE"), (12, 13, "CASE_LOT"), (5, 13, "VIN"), (20, 21, "PLATE")]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    found = spark.createDataFrame(spark.sparkContext.parallelize(links, 2).map(counted), "left_id long, right_id long, link_type string")
+    got = {r.vehicle_id: (r.component_id, r.signals) for r in identity.identity_components(found).collect()}
+    chain = (5, ["CASE_LOT", "FRAME", "PLATE", "VIN"])
+    assert got == {5: chain, 10: chain, 11: chain, 12: chain, 13: chain, 20: (20, ["PLATE"]), 21: (20, ["PLATE"])}
+    assert read.value == len(links)
+
+
 def test_duplicates_show_their_own_score(spark):
     """2 and 3 agree on all five signals, though 1 is the smallest of both and agrees with them on fewer."""
     rows = [(1, "a", "m", 1, "x", "d1"), (2, "a", "m", 1, "x", "d2"), (3, "a", "m", 1, "x", "d2"), (4, "a", "m", 1, "y", "d3"), (5, "b", None, 1, "x", "d2"), (6, "a", "m", 2, "z", "d9")]
